@@ -12,33 +12,42 @@ _PAD = r"[\t-\r ]*"
 _NUMBER = r"(\d[\d,]*(\.\d*)?|\.\d+)"
 INTEGER_TEXT = rf"^{_PAD}[+-]?\d+{_PAD}$"
 DOUBLE_TEXT = rf"^{_PAD}[+-]?{_NUMBER}([eE][+-]?\d+)?{_PAD}$"
-DECIMAL_TEXT = rf"^{_PAD}([+-]?{_NUMBER}|{_NUMBER}[+-]){_PAD}$"
+PLAIN_TEXT = rf"^{_PAD}[+-]?{_NUMBER}{_PAD}$"
+SIGN_LAST_TEXT = rf"^{_PAD}{_NUMBER}[+-]{_PAD}$"
 DECIMAL_LIMIT = 79228162514264337593543950335.0
 
-# Fixed values: (shape, format) of the dates accepted after ddMMyyyy, in this order.
-OTHER_DATES = [
-    (r"^\d{4}-\d{2}-\d{2}$", "yyyy-MM-dd"),
-    (r"^\d{2}/\d{2}/\d{4}$", "MM/dd/yyyy"),
-    (r"^\d{2}-[A-Za-z]{3}-\d{4}$", "dd-MMM-yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-]
-ISO_TIMESTAMP = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?$"
+# Shapes of date text. Year 0000 is no year.
+DAY_FIRST = r"^\d{3,4}(?!0000)\d{4}$"
+ISO = r"^(?!0000)\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?)?$"
+MONTH_FIRST = r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"
+MONTH_NAME = r"^\d{2}-[A-Za-z]{3}-(?!0000)\d{4}$"
 
 
 def parse_feed_date(col: Column) -> Column:
-    """Date of a feed (F1): ddMMyyyy or dMMyyyy, then the other formats, else NULL."""
-    text = strip_space(col)
-    padded = F.when(F.char_length(text) == 7, F.concat(F.lit("0"), text)).otherwise(text)
-    result = F.when(
-        padded.rlike(r"^\d{8}$"),
-        F.try_to_date(padded, "ddMMyyyy"),
-    )
-    for shape, fmt in OTHER_DATES:
-        result = result.when(text.rlike(shape), F.try_to_date(text, fmt))
-    result = result.when(
-        text.rlike(ISO_TIMESTAMP), F.try_to_date(F.substring(text, 1, 10), "yyyy-MM-dd")
+    """Date of a feed (F1): ddMMyyyy or dMMyyyy; ISO date or timestamp, cut to the day; month
+    first with slashes; dd-MMM-yyyy. Anything else, and a day that does not exist, is NULL."""
+    return stripped_date(strip_space(col))
+
+
+def stripped_date(text: Column) -> Column:
+    """:func:`parse_feed_date` of text without outer white space.
+
+    All shapes in digits are put into one, so that one date parser serves them.
+    """
+
+    def slash_part(i: int) -> Column:
+        return F.lpad(F.split_part(text, F.lit("/"), F.lit(i)), 2, "0")
+
+    digits = (
+        F.when(text.rlike(DAY_FIRST), F.lpad(text, 8, "0"))
+        .when(
+            text.rlike(ISO),
+            F.concat(F.substring(text, 9, 2), F.substring(text, 6, 2), F.substring(text, 1, 4)),
+        )
+        .when(text.rlike(MONTH_FIRST), F.concat(slash_part(2), slash_part(1), F.right(text, F.lit(4))))
     )
-    return F.when(F.year(result) >= 1, result)
+    named = F.when(text.rlike(MONTH_NAME), F.try_to_date(text, "dd-MMM-yyyy"))
+    return F.coalesce(F.try_to_date(digits, "ddMMyyyy"), named)
 
 
 def strict_int(col: Column) -> Column:
@@ -51,10 +60,16 @@ def safe_int(col: Column, default: int = 0) -> Column:
     return F.coalesce(strict_int(col), F.lit(default))
 
 
+def _number(col: Column) -> Column:
+    return F.replace(col, F.lit(","), F.lit("")).try_cast("double")
+
+
 def strict_double(col: Column) -> Column:
     """Number with optional thousands commas and exponent, or NULL if not finite."""
-    value = F.replace(col, F.lit(","), F.lit("")).try_cast("double")
-    return F.when(col.rlike(DOUBLE_TEXT) & (F.abs(value) < float("inf")), value)
+    value = _number(col)
+    return F.when(col.rlike(PLAIN_TEXT) & (F.char_length(col) < 300), value).when(
+        col.rlike(DOUBLE_TEXT) & (F.abs(value) < float("inf")), value
+    )
 
 
 def safe_double(col: Column, default: float = 0.0) -> Column:
@@ -68,10 +83,12 @@ def strict_decimal(col: Column) -> Column:
     Thousands commas and one leading or trailing sign, no exponent, within the range of a
     96-bit decimal.
     """
-    plain = F.replace(col, F.lit(","), F.lit(""))
-    plain = F.regexp_replace(plain, r"^\s*([\d.]+)([+-])\s*$", "$2$1")
-    value = plain.try_cast("double")
-    return F.when(col.rlike(DECIMAL_TEXT) & (F.abs(value) <= DECIMAL_LIMIT), value)
+    value = _number(col)
+    moved = _number(F.regexp_replace(col, r"^\s*([\d.,]+)([+-])\s*$", "$2$1"))
+    short = F.char_length(col) <= 28
+    return F.when(
+        col.rlike(PLAIN_TEXT) & (short | (F.abs(value) <= DECIMAL_LIMIT)), value
+    ).when(col.rlike(SIGN_LAST_TEXT) & (F.abs(moved) <= DECIMAL_LIMIT), moved)
 
 
 def safe_string(col: Column, default: str = "") -> Column:

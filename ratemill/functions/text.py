@@ -8,6 +8,12 @@ from pyspark.sql import functions as F
 # A line never holds a line break, so it is a separator no field can contain.
 FIELD_BREAK = "\n"
 
+# The white space characters of Unicode.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 
 def is_blank(col: Column) -> Column:
     """NULL, empty or only white space."""
@@ -16,24 +22,22 @@ def is_blank(col: Column) -> Column:
 
 def strip_space(col: Column) -> Column:
     """Leading and trailing white space removed."""
-    return F.regexp_replace(col, r"(?U)^\s+|\s+$", "")
+    return F.btrim(col, F.lit(WHITE_SPACE))
 
 
 def split_fields(line: Column) -> Column:
     """Split at the commas that an even number of quotes follows.
 
-    Cutting the line at its quotes leaves pieces numbered 0..q; q - i quotes follow piece i.
-    Linear in the length of the line.
+    The line is cut at its quotes and looked at from its end: the piece at place i has i quotes
+    after it. Linear in the length of the line.
     """
-    pieces = F.split(line, '"')
-    last = F.size(pieces) - 1
     marked = F.transform(
-        pieces,
+        F.reverse(F.split(line, '"')),
         lambda piece, i: F.when(
-            (last - i) % 2 == 0, F.replace(piece, F.lit(","), F.lit(FIELD_BREAK))
+            i % 2 == 0, F.replace(piece, F.lit(","), F.lit(FIELD_BREAK))
         ).otherwise(piece),
     )
-    quoted = F.split(F.array_join(marked, '"'), FIELD_BREAK)
+    quoted = F.split(F.array_join(F.reverse(marked), '"'), FIELD_BREAK)
     return F.when(F.contains(line, F.lit('"')), quoted).otherwise(F.split(line, ","))
 
 

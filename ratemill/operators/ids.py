@@ -12,32 +12,36 @@ from ratemill.session import new_scratch, written
 _PLACE_BITS = 33
 
 
-def assign_ids(df: DataFrame, order: list[str], start: int = 0, id_col: str = "ID") -> DataFrame:
-    """``df`` with ``id_col`` = start + 1, start + 2, ... along ``order``.
+def placed_rows(df: DataFrame, order: list[str], path: str) -> DataFrame:
+    """``df`` range-partitioned and sorted along ``order``, written to ``path`` with the partition
+    of each row and its place in it."""
+    ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    place = F.monotonically_increasing_id().bitwiseAND((1 << _PLACE_BITS) - 1)
+    return written(ranged.withColumns({"_part": F.spark_partition_id(), "_place": place}), path)
+
 
-    Rows are range-partitioned and sorted, and written once with their partition and their place
-    in it. The partition sizes then give every partition its first id. The table of sizes has
-    one row per shuffle partition.
+def number_placed(placed: DataFrame, start: int, id_col: str) -> DataFrame:
+    """Ids from the places: the partition sizes give every partition its first id.
+
+    The table of sizes has one row per shuffle partition.
     """
-    ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
-    numbered = ranged.withColumns(
-        {
-            "_part": F.spark_partition_id(),
-            "_place": F.monotonically_increasing_id().bitwiseAND((1 << _PLACE_BITS) - 1),
-        }
-    )
-    numbered = written(numbered, new_scratch(df.sparkSession, "ids"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = numbered.groupBy("_part").agg(F.count("*").alias("_n"))
+    sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     new_id = F.col("_start") + F.col("_place") + F.lit(start + 1)
     return (
-        numbered.join(F.broadcast(starts), "_part")
+        placed.join(F.broadcast(starts), "_part")
         .withColumn(id_col, new_id.cast("long"))
         .drop("_part", "_place", "_start")
     )
 
 
+def assign_ids(df: DataFrame, order: list[str], start: int = 0, id_col: str = "ID") -> DataFrame:
+    """``df`` with ``id_col`` = start + 1, start + 2, ... along ``order``."""
+    placed = placed_rows(df, order, new_scratch(df.sparkSession, "ids"))
+    return number_placed(placed, start, id_col)
+
+
 def add_surrogate_key(table: DataFrame, first_by: list[str], id_col: str = "ID") -> DataFrame:
     """``table`` with ids 1..n, ordered by ``first_by`` and then all other columns (G1)."""
     rest = [c for c in table.columns if c not in first_by]
