@@ -37,12 +37,18 @@ def number_placed(placed: DataFrame, start: int, id_col: str) -> DataFrame:
 
 
 def assign_ids(df: DataFrame, order: list[str], start: int = 0, id_col: str = "ID") -> DataFrame:
-    """``df`` with ``id_col`` = start + 1, start + 2, ... along ``order``."""
+    """``df`` with ``id_col`` = start + 1, start + 2, ... along ``order``, which should be unique."""
     placed = placed_rows(df, order, new_scratch(df.sparkSession, "ids"))
     return number_placed(placed, start, id_col)
 
 
 def add_surrogate_key(table: DataFrame, first_by: list[str], id_col: str = "ID") -> DataFrame:
-    """``table`` with ids 1..n, ordered by ``first_by`` and then all other columns (G1)."""
+    """``table`` with ids 1..n, ordered by ``first_by`` and then all other columns (G1).
+
+    The last tie, between equal rows, falls by their place in the table's files, so that many
+    equal rows spread over partitions. ``table`` should be read from files: there the place of a
+    row is the same when a task runs again.
+    """
     rest = [c for c in table.columns if c not in first_by]
-    return assign_ids(table, [*first_by, *rest], 0, id_col)
+    placed = table.withColumn("_tie", F.monotonically_increasing_id())
+    return assign_ids(placed, [*first_by, *rest, "_tie"], 0, id_col).drop("_tie")

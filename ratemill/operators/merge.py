@@ -73,10 +73,9 @@ def with_match(df: DataFrame, rule: MergeRule) -> DataFrame:
 
 
 def matched_rows(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Pairs of batch and target rows with equal keys, as structs ``s`` and ``t``."""
-    s = batch.select(*key, F.struct(*batch.columns).alias("s"))
-    t = target.select(*key, F.struct(*target.columns).alias("t"))
-    return s.join(t, key)
+    """Batch rows whose key the target has (J1). The target is reduced to its keys first, so a
+    key that repeats on both sides makes no pairs."""
+    return batch.join(target.select(*key).distinct(), key, "left_semi")
 
 
 def rows_differ(left: list[Column], right: list[Column]) -> Column:
@@ -84,14 +83,24 @@ def rows_differ(left: list[Column], right: list[Column]) -> Column:
     return ~reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
 
 
+def key_states(target: DataFrame, key: list[str], values: Column) -> DataFrame:
+    """Per key ``_low`` and ``_high``, the least and greatest values of its target rows.
+
+    All rows of a key equal some values exactly if both bounds do. One row per key, reduced
+    before the shuffle, stands for any number of target rows.
+    """
+    return target.groupBy(*key).agg(F.min(values).alias("_low"), F.max(values).alias("_high"))
+
+
+def _differs_from_state(values: Column) -> Column:
+    return rows_differ([F.col("_low"), F.col("_high")], [values, values])
+
+
 def changed_rows(batch: DataFrame, target: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """Batch rows whose key is in the target with other values."""
-    pairs = matched_rows(batch, target, key)
-    differ = rows_differ(
-        [F.col("s")[c] for c in columns],
-        [F.col("t")[c] for c in columns],
-    )
-    return pairs.where(differ).select("s.*")
+    """Batch rows whose key has a target row with other values."""
+    values = F.struct(*columns)
+    found = batch.join(key_states(target, key, values), key)
+    return found.where(_differs_from_state(values)).select(*batch.columns)
 
 
 def new_rows(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
@@ -233,7 +242,7 @@ def merge_actions(
     compare = rule.updated if rule.update_when == "changed" else []
     values = F.struct(*compare) if compare else F.struct(F.lit(1).alias("one"))
     rows = with_match(batch, rule).withColumn("_values", values)
-    state = _target_state(target, rule, values)
+    state = key_states(with_match(target, rule), match, values)
 
     hot = hot_keys(rows, match, batch.count(), hot_rows)
     group = list(match)
@@ -271,8 +280,9 @@ def merge_actions(
 
     first = F.col("_before").isNull()
     differs = (
-        F.when(first, ~(F.col("_low").eqNullSafe(F.col("_values")) & F.col("_high").eqNullSafe(F.col("_values"))))
-        .otherwise(~F.col("_before").eqNullSafe(F.col("_values")))
+        F.when(first, _differs_from_state(F.col("_values"))).otherwise(
+            ~F.col("_before").eqNullSafe(F.col("_values"))
+        )
         if compare
         else F.lit(True)
     )
@@ -282,16 +292,6 @@ def merge_actions(
     return rows.select(*columns, action.alias("_action"))
 
 
-def _target_state(target: DataFrame, rule: MergeRule, values: Column) -> DataFrame:
-    """Per key the least and greatest values of its target rows: all of them equal a batch row
-    exactly if both do. One row per key, reduced before the shuffle."""
-    return (
-        with_match(target, rule)
-        .groupBy(*rule.match)
-        .agg(F.min(values).alias("_low"), F.max(values).alias("_high"))
-    )
-
-
 def count_actions(actions: DataFrame, by: list[str]) -> DataFrame:
     """Rows, inserts, updates and processed rows of each group."""
     action = F.col("_action")

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ratemill.plans.importer import ABORT, import_files
 from ratemill.sources.store import TableStore
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
 
 def import_stream(
     spark: SparkSession,
@@ -27,21 +26,20 @@ def import_stream(
     """
 
     def import_batch(batch: DataFrame, number: int) -> None:
-        seen = batch.groupBy("path").agg(F.min("time").alias("time")).collect()
-        paths = [unquote(r.path) for r in sorted(seen, key=lambda r: (r.time, r.path))]
-        if paths:
+        found = sorted(batch.collect(), key=lambda r: (r.modificationTime, r.path))
+        if found:
+            paths = [r.path for r in found]
             import_files(batch.sparkSession, paths, store, policy, tag=(name, number))
 
-    reader = spark.readStream.option("recursiveFileLookup", "true")
+    # Only path and time are selected, so the files are listed here and not read.
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
+    reader = reader.option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    lines = reader.format("text").load(landing)
-    files = lines.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_modification_time").alias("time"),
-    )
     query = (
-        files.writeStream.foreachBatch(import_batch)
+        reader.load(landing)
+        .select("path", "modificationTime")
+        .writeStream.foreachBatch(import_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
