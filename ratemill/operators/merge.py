@@ -20,6 +20,7 @@ from pyspark.sql.window import Window
 
 from ratemill.functions.convert import strict_int
 from ratemill.operators.ids import assign_ids
+from ratemill.session import BROADCAST_ROWS
 
 INSERT, UPDATE, UNCHANGED = "INSERT", "UPDATE", "UNCHANGED"
 
@@ -119,12 +120,12 @@ def _order(order: list[str]) -> Column:
 
 def collapse_batch(batch: DataFrame, rule: MergeRule, order: list[str]) -> DataFrame:
     """One row per key (M5): updated columns of the last row, kept columns of the first,
-    ``_first`` the order of the first row.
+    ``_first`` the order of the first row, ``_n`` the number of rows.
 
     A plain aggregate, so a hot key leaves each map task as one row.
     """
     at = _order(order)
-    aggs = [F.min(at).alias("_first")]
+    aggs = [F.min(at).alias("_first"), F.count("*").alias("_n")]
     if rule.updated:
         aggs.append(F.max_by(F.struct(*rule.updated), at).alias("_last_row"))
     if rule.kept:
@@ -139,7 +140,38 @@ def collapse_batch(batch: DataFrame, rule: MergeRule, order: list[str]) -> DataF
         for c in rule.columns
     ]
     extra = [m for m in rule.match if m not in rule.key]
-    return grouped.select(*columns, *extra, "_first")
+    return grouped.select(*columns, *extra, "_first", "_n")
+
+
+def repeated_keys(batch: DataFrame, rule: MergeRule) -> DataFrame:
+    """Keys with more than one row, and how many: a count over the key columns only."""
+    counts = with_match(batch, rule).groupBy(*rule.match).agg(F.count("*").alias("_n"))
+    return counts.where("_n > 1")
+
+
+def collapse_around(
+    batch: DataFrame, rule: MergeRule, order: list[str], repeated: DataFrame, n_repeated: int
+) -> DataFrame:
+    """:func:`collapse_batch` where the repeated keys are known.
+
+    If they are few, the rows of all other keys pass through, and no whole row is shuffled for
+    them. Else the plain aggregate does the work.
+    """
+    if n_repeated > BROADCAST_ROWS:
+        return collapse_batch(batch, rule, order)
+    keyed = with_match(batch, rule)
+    single = keyed
+    if n_repeated:
+        keys = F.broadcast(repeated.select(*rule.match))
+        single = keyed.join(keys, rule.match, "left_anti")
+    extra = [m for m in rule.match if m not in rule.key]
+    single = single.select(
+        *rule.columns, *extra, _order(order).alias("_first"), F.lit(1).cast("long").alias("_n")
+    )
+    if not n_repeated:
+        return single
+    again = keyed.join(keys, rule.match, "left_semi").select(*batch.columns)
+    return single.unionByName(collapse_batch(again, rule, order))
 
 
 def update_matched(target: DataFrame, collapsed: DataFrame, rule: MergeRule) -> DataFrame:
@@ -221,6 +253,7 @@ def merge_actions(
     chunk: list[Column] | None = None,
     hot_rows: int = HOT_ROWS,
     chunk_rows: int = CHUNK_ROWS,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Every batch row with its ``_action``: INSERT, UPDATE or UNCHANGED (M4).
 
@@ -229,7 +262,8 @@ def merge_actions(
     the order; the last row of a chunk is carried over to the next one that has the key.
 
     ``chunk`` are whole numbers that never fall along ``order``; the default is the order
-    without its last column, or blocks of ``chunk_rows`` of a single numeric order.
+    without its last column, or blocks of ``chunk_rows`` of a single numeric order. ``n_rows``
+    is the size of the batch if the caller knows it.
     """
     columns = batch.columns
     if chunk is None:
@@ -244,7 +278,7 @@ def merge_actions(
     rows = with_match(batch, rule).withColumn("_values", values)
     state = key_states(with_match(target, rule), match, values)
 
-    hot = hot_keys(rows, match, batch.count(), hot_rows)
+    hot = hot_keys(rows, match, batch.count() if n_rows is None else n_rows, hot_rows)
     group = list(match)
     if hot is not None:
         # Fewer than HOT_KEYS rows by construction.
@@ -257,6 +291,8 @@ def merge_actions(
             }
         )
         group += parts
+        # Rows may come partitioned by key alone, which would do for the window below.
+        rows = rows.repartition(*group)
 
     rows = rows.withColumn("_before", F.lag("_values").over(Window.partitionBy(*group).orderBy(at)))
     if hot is None:

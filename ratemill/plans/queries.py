@@ -297,7 +297,7 @@ def _levels(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     )
     cut = F.lit(inputs.EVENT_CUT).cast("timestamp_ntz")
     target = merge.collapse_batch(events.where(F.col("ts") < cut), EVENT_RULE, ["event_id"])
-    return target.drop("_first"), events.where(F.col("ts") >= cut).drop("ts")
+    return target.drop("_first", "_n"), events.where(F.col("ts") >= cut).drop("ts")
 
 
 def upsert_changed(spark: SparkSession, sf: str) -> DataFrame:
@@ -321,7 +321,7 @@ def import_counts(spark: SparkSession, sf: str) -> DataFrame:
 def collapse_batch(spark: SparkSession, sf: str) -> DataFrame:
     rule = MergeRule(tuple(LINE_KEY), tuple(LINE_COLUMNS))
     lines = table(spark, sf, "lineitem")
-    return merge.collapse_batch(lines, rule, [*SHIP_ORDER, "l_returnflag"]).drop("_first")
+    return merge.collapse_batch(lines, rule, [*SHIP_ORDER, "l_returnflag"]).drop("_first", "_n")
 
 
 def upsert_multi_match(spark: SparkSession, sf: str) -> DataFrame:
