@@ -12,7 +12,6 @@ execution can split its left side), and the window over a hot key's rows runs in
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,7 +80,11 @@ def matched_rows(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFra
 
 def rows_differ(left: list[Column], right: list[Column]) -> Column:
     """Whether any pair of values differs; two NULLs are equal."""
-    return ~reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(left, right)])
+
+    def as_struct(values: list[Column]) -> Column:
+        return F.struct(*[v.alias(f"v{i}") for i, v in enumerate(values)])
+
+    return ~as_struct(left).eqNullSafe(as_struct(right))
 
 
 def key_states(target: DataFrame, key: list[str], values: Column) -> DataFrame:
