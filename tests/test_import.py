@@ -243,6 +243,22 @@ def test_missing_column_is_a_violation_and_header_only_is_not(spark, store, writ
         import_files(spark, [path], store)
 
 
+def test_import_without_a_good_row_changes_nothing(spark, store, write):
+    import_files(spark, [write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P")))], store)
+    before = store.version()
+    bad = write("b.csv", text(STUMPAGE_HEADER, stumpage("x", "P")))
+    only_header = write("c.csv", STUMPAGE_HEADER)
+    result = import_files(spark, [bad, only_header], store, policy="skip")
+    assert (result.processed, result.error_count) == ({"stumpage": 0}, 1)
+    assert store.version() == before
+
+
+def test_a_file_named_twice_is_read_once(spark, store, write, tmp_path):
+    path = write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P")))
+    result = import_files(spark, [path, str(tmp_path / "in"), path], store)
+    assert result.processed == {"stumpage": 1}
+
+
 def test_columns_are_found_by_each_files_own_header(spark, store, write):
     names = list(reversed(STUMPAGE.names))
     values = dict(zip(STUMPAGE.names, "S,2,P,N,G,g,R,r,2,1042026,1042026".split(",")))
