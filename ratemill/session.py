@@ -67,3 +67,12 @@ def written(df: DataFrame, path: str) -> DataFrame:
 def with_hint(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if its known row count allows one."""
     return df.hint("broadcast") if rows <= BROADCAST_ROWS else df
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run made below the scratch root and no longer reads."""
+    if "/ratemill/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

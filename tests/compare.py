@@ -70,7 +70,7 @@ def main() -> int:
     only = set(sys.argv[2:])
     spark, con, sql, bad = get_spark("compare", "8"), connect(sf_dir), oracle_sql(), 0
     for name, run in queries().items():
-        if only and name not in only:
+        if name not in sql or only and name not in only:
             continue
         start = time.time()
         try:
