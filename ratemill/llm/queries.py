@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ratemill.llm import bpe, packing, simhash, token_counts
+from ratemill.llm import bpe, licenses, packing, quality, simhash, token_counts
 from ratemill.session import new_scratch
 
 
@@ -18,6 +18,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir), "doc_id", "text", shingle=3, distance=3)
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_documents(spark, sf_dir), "doc_id", "text")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded_digests(_documents(spark, sf_dir), "doc_id", "text", bpe.default_vocabulary())
 
@@ -29,11 +33,26 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(spark, path).withColumnRenamed("key", "doc_id")
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_documents(spark, sf_dir), "doc_id", "text", "source")
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), "doc_id", "text", bpe.default_vocabulary(), end_id=2, capacity=1024)
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash, op5_bpe, op6_token_counts, op10_best_fit_packing)
+    f.__name__: f
+    for f in (
+        op2_simhash,
+        op3_license_scan,
+        op5_bpe,
+        op6_token_counts,
+        op9_quality_rules,
+        op10_best_fit_packing,
+    )
+}
+LLM_ORACLES: dict[str, str] = {
+    "op3_license_scan": licenses.oracle(),
+    "op9_quality_rules": quality.ORACLE,
 }
-LLM_ORACLES: dict[str, str] = {}
