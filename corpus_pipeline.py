@@ -1,34 +1,58 @@
-"""From raw documents to packed training sequences, in stages that are written and read again."""
+"""From raw documents to packed training sequences, in stages that are written and read again.
+
+Each stage takes what its predecessor kept. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from ratemill.llm import bpe, packing, simhash
+from ratemill.llm import bpe, langid, packing, quality, simhash
+from ratemill.llm.textkeys import text_key
 from ratemill.session import new_scratch, written
 
+MIN_LANGUAGE_SCORE = 0.5
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those whose best language has less than half the score, go."""
+    model = langid.identify(docs, "doc_id", "text", "lang")
+    found = langid.predict(docs, "text", model, "_language", "_score")
+    kept = found.where((F.col("_language") != langid.UNDETERMINED) & (F.col("_score") >= MIN_LANGUAGE_SCORE))
+    return kept.select(*docs.columns)
+
+
+def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that fail the quality rules go; frequent lines of a host go from the others."""
+    kept = quality.clean(docs, "doc_id", "text", "source")
+    return kept.withColumn("n_chars", F.char_length("text").cast("long"))
+
 
-def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates stays, the one with the smallest id."""
-    groups = simhash.near_duplicates(docs, "doc_id", "text", shingle=3, distance=3)
-    first = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(first.withColumnRenamed("doc_id", "_first"), F.col("doc_id").eqNullSafe(F.col("_first")), "left_semi")
-    # Rows with one id: the first by text.
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "source", "lang"))
-    return kept.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
+def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays; the text decides
+    between equal ids, and of equal rows one stays."""
+    key = F.struct(F.col("doc_id").alias("id"), text_key(F.col("text")).alias("text"))
+    keyed = docs.withColumn("_key", key)
+    groups = simhash.near_duplicates(keyed, "_key", "text", shingle=3, distance=3)
+    first = groups.where(F.col("_key") == F.col("component_id")).select("_key").distinct()
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
+    kept = keyed.join(first, "_key", "left_semi").withColumn("_nth", nth).where("_nth = 1")
+    return kept.select(*docs.columns)
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the remaining documents in sequences of at most 1024 tokens."""
     return packing.pack(docs, "doc_id", "text", bpe.default_vocabulary(), end_id=2, capacity=1024)
 
 
 STAGES = [
-    ("simhash near-dedup", deduplicate),
-    ("best-fit packing", pack),
+    ("language ID", keep_known_languages),
+    ("quality rules", keep_good_texts),
+    ("SimHash near-dedup", keep_one_of_each_group),
+    ("best-fit packing", pack_sequences),
 ]
-# Tokens and the order of tasks are not SQL; tests compare with brute force.
+# A trained model and token ids are not SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratemill.llm import arc, bpe, chat, langid, licenses, packing, quality, simhash, token_counts
+from ratemill.llm import arc, bpe, chat, langid, licenses, packing, quality, simhash, spotsigs, token_counts
 from ratemill.session import new_scratch
 
 
@@ -63,6 +63,10 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_likeness(_documents(spark, sf_dir), "doc_id", "text", part=4)
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(_documents(spark, sf_dir), "doc_id", "text", "source")
 
@@ -81,6 +85,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_bpe,
         op6_token_counts,
         op7_language_id,
+        op8_spotsigs,
         op9_quality_rules,
         op10_best_fit_packing,
     )
