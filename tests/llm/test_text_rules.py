@@ -1,0 +1,202 @@
+"""The native operators against plain loops, and their SQL."""
+
+import hashlib
+import math
+import re
+
+import pytest
+from compare import connect, difference
+
+from ratemill.llm import licenses, quality, spotsigs
+from ratemill.llm.queries import LLM_ORACLES, LLM_QUERIES
+from ratemill.llm.quality import Limits
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.mark.parametrize("name", LLM_ORACLES)
+def test_query_equals_sql(spark, name):
+    assert difference(LLM_QUERIES[name](spark, SF), connect(SF), LLM_ORACLES[name]) is None
+
+
+@pytest.mark.parametrize("name", ["op3_license_scan", "op8_spotsigs", "op9_quality_rules"])
+def test_no_python_in_native_plans(spark, name):
+    plan = LLM_QUERIES[name](spark, SF)._jdf.queryExecution().toString()
+    for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):
+        assert word not in plan
+
+
+# Quality
+
+GOOD = "\n".join(" ".join(f"w{i}x{j}" for j in range(12)) for i in range(8))
+BOILER = "Subscribe  to our\tletter NOW"
+QUALITY_ROWS = [
+    (1, GOOD, "a"), (2, None, "a"), (3, "", "a"), (4, " \t\n ", None), (5, "a b c " * 40, "a"), (6, "a b c d a b c x y a b c", "a"),
+    (7, "x\nx\n x\n\n\ny\nx", None), (8, "# * ü$é%&|<>", "a"), (9, "a a a a", "a"), (10, "w " * 20_000, "a"),
+    *((20 + i, f"{BOILER}\n{GOOD}\n{i}".replace("x", f"y{i}"), "h") for i in range(6)),
+    *((40 + i, "subscribe to our letter now\n" * 3 + " ".join(f"k{i}{j}" for j in range(9)), "h") for i in range(6)),
+    (60, f"{BOILER}\n{GOOD}\nother", "else"), (20, f"{BOILER}\n{GOOD}\n0".replace("x", "y0"), "h"), (61, GOOD, "h"), (62, GOOD, "h"), (None, GOOD, "h"),
+]
+WHITE = "[\x20\x09-\x0d]+"
+
+
+def quality_row(text):
+    words = [w for w in re.split(WHITE, text) if w]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    seen = {}
+    for w in windows:
+        seen[w] = seen.get(w, 0) + 1
+    covered = {i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.sub(WHITE, "", x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered)
+
+
+def normal(line):
+    return re.sub(WHITE, " ", line.lower()).strip(" ")
+
+
+LIMITS = Limits(min_words=20, max_repeat_percent=80, min_line_docs=4, max_line_share=0.3, min_words_left=15, min_share_left=0.3)
+
+
+def expected_quality(rows, limits):
+    texts = {}
+    for _, t, h in rows:
+        texts.setdefault(h or "", set()).add(t or "")
+    over = {}
+    for host, own in texts.items():
+        counts = {}
+        for t in own:
+            for k in {normal(x) for x in t.split("\n") if x.strip(" \t\n\x0b\x0c\r")}:
+                counts[k] = counts.get(k, 0) + 1
+        over[host] = {k for k, n in counts.items() if n > limits.min_line_docs and n > len(own) * limits.max_line_share}
+    out = []
+    for i, t, h in rows:
+        n, *rest = quality_row(t or "")
+        failed = n < limits.min_words or 100 * rest[-1] > limits.max_repeat_percent * n
+        gone = [x for x in (t or "").split("\n") if normal(x) in over[h or ""] and normal(x)]
+        left = n - sum(quality_row(x)[0] for x in gone)
+        out.append((i, n, *rest, failed, not failed and left >= limits.min_words_left and left >= n * limits.min_share_left, left))
+    return out, over
+
+
+def test_quality_rules(spark):
+    table = spark.createDataFrame([(i, t, h, 1, "x") for i, t, h in QUALITY_ROWS], "doc_id long, text string, source string, n_words int, removed string")
+    got = [tuple(r) for r in quality.quality_rules(table, "doc_id", "text", "source", LIMITS).collect()]
+    want, over = expected_quality(QUALITY_ROWS, LIMITS)
+    assert over["h"] >= {normal(BOILER)} and not over["else"]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    # Boilerplate alone does not condemn; what is left too short does; copies do not count.
+    kept = {r[0]: r[7] for r in got}
+    assert kept[20] and kept[60] and kept[61] and kept[62] and kept[None]
+    assert not kept[40]
+    assert quality.quality_rules(table.limit(0), "doc_id", "text", "source").count() == 0
+
+
+def test_cleaned_texts(spark):
+    table = spark.createDataFrame([(i, t, h, 1) for i, t, h in QUALITY_ROWS], "doc_id long, text string, source string, _key int")
+    got = quality.clean(table, "doc_id", "text", "source", LIMITS).select("doc_id", "text", "source").collect()
+    verdicts, over = expected_quality(QUALITY_ROWS, LIMITS)
+    want = []
+    for (i, t, h), v in zip(QUALITY_ROWS, verdicts):
+        if v[7]:
+            lines = t.split("\n")
+            want.append((i, "\n".join(x for x in lines if not (normal(x) and normal(x) in over[h or ""])), h))
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+    assert any(BOILER in (t or "") and h == "h" for _, t, h in QUALITY_ROWS) and not any(BOILER in t for _, t, h in want if h == "h")
+
+
+def test_rejection_by_lines(spark):
+    rows = [(i, "same line here now\n" + " ".join(f"v{i}{j}" for j in range(4)), "h") for i in range(30)]
+    limits = Limits(min_words=5, min_words_left=5)
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert quality.quality_rules(table, "doc_id", "text", "source", limits).where("kept").count() == 0
+    assert quality.clean(table, "doc_id", "text", "source", Limits(min_words=5, min_words_left=4)).count() == 30
+
+
+# Licenses
+
+
+def license_words(text):
+    lowered = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    return [w for w in re.split(licenses.BETWEEN, lowered) if w]
+
+
+def expected_licenses(rows):
+    half = licenses.block_words(licenses.NOTICES)
+    for i, text in rows:
+        w = license_words(text or "")
+        at = sorted((k, label) for p, label in licenses.PHRASES.items() for k in range(len(w)) if w[k : k + len(p.split())] == p.split())
+        base = {label for _, label in at}
+        best, found = 0.0, set()
+        for start in range(0, max(1, len(w)), half):
+            own = set(w[start : start + 2 * half])
+            for label, notice in licenses.NOTICES:
+                words = licenses.template_words(notice)
+                common = len(own & set(words))
+                if common >= math.ceil(licenses.THRESHOLD * len(words) - 1e-9):
+                    found.add(label)
+                    best = max(best, common / len(words))
+        ks = [k for k, _ in at]
+        yield i, len(w), len(at), min(ks, default=None), max(ks, default=None), ",".join(sorted(base)), ",".join(sorted(base | found)), 1.0 if at else best
+
+
+def test_licenses(spark):
+    notices = [text for _, text in licenses.NOTICES]
+    filler = " ".join(f"word{i}" for i in range(500))
+    cut = [" ".join(license_words(t)[: max(1, int(len(license_words(t)) * s))]) for t in notices for s in (0.95, 0.75, 0.4)]
+    texts = [None, "", "...", "Under the MIT License", "under\nthe-mit, license! Apache License, Version 2.0 CC-BY-NC 4.0", "underthe mit license", "UNDER THE MİT LICENSE",
+             "under the mit lıcense", "cc by K nc", "license " * 300, "cc by nc " * 90, *notices, *cut, *(f"{filler} {t} {filler}" for t in notices)]
+    rows = [*enumerate(texts), (None, notices[0]), (3, "Under the MIT License"), (3, "Under the MIT License")]
+    table = spark.createDataFrame([(i, t, "x", 2) for i, t in rows], "doc_id long, text string, labels string, n_words int")
+    got = [tuple(r) for r in licenses.scan(table, "doc_id", "text").collect()]
+    want = list(expected_licenses(rows))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    by_id = {r[0]: r for r in got}
+    for k, (label, _) in enumerate(licenses.NOTICES):
+        assert label in by_id[11 + k][6].split(",") and by_id[11 + k][7] == 1.0
+    assert licenses.scan(table.limit(0), "doc_id", "text").count() == 0
+
+
+# Spot signatures
+
+
+def spots(text):
+    common = set(spotsigs.anchors())
+    words = [w for w in re.split(r"[\W_]+", text.lower()) if w]
+    out = set()
+    for i, w in enumerate(words):
+        if w in common:
+            out.add((w, *[x for x in words[i + 1 : i + 1 + spotsigs.REACH] if x not in common][: spotsigs.CHAIN]))
+    return out or ({tuple(words)} if words else set())
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_edited_likeness(spark, partitions):
+    rows = [(5, "the house of the rising sun is in the city"), (1, None), (2, ""), (3, "the house of the rising sun"), (9, "no anchor"), (7, "é" * 9 + " the ü b"), (8, "the " * 3000), (None, "der Hund und die Katze"), (11, "the house of the rising sun")]
+    table = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, fingerprint string, n_chars int").repartition(partitions)
+    got = {r.doc_id: r for r in spotsigs.edited_likeness(table, "doc_id", "text").collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    assert len(got) == len(rows)
+    for (i, t), (_, nxt) in zip(order, order[1:] + order[:1]):
+        t, nxt = t or "", nxt or ""
+        q = len(t) // 4
+        edited = t[: len(t) - q] + nxt[:q]
+        r = got[i]
+        assert (r.n_chars, r.edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert r.near_edited == pytest.approx(jaccard(spots(t), spots(edited)))
+        assert r.near_next == pytest.approx(jaccard(spots(t), spots(nxt)))
+        assert len(r.fingerprint) == 16 * len(spots(t)) and len(r.edited_fingerprint) == 16 * len(spots(edited))
+    assert got[3].fingerprint == got[11].fingerprint and got[1].fingerprint == got[2].fingerprint == ""
+
+
+def test_repeated_rows_and_few_rows(spark):
+    table = spark.createDataFrame([(1, "the sun is up")] * 3 + [(1, "the moon is up"), (2, "of all")], "doc_id long, text string")
+    got = spotsigs.edited_likeness(table, "doc_id", "text").collect()
+    assert len(got) == 5 and len({tuple(r) for r in got}) == 3
+    one = spotsigs.edited_likeness(table.where("doc_id = 2"), "doc_id", "text").collect()
+    assert [r.near_next for r in one] == [1.0]
+    assert spotsigs.edited_likeness(table.limit(0), "doc_id", "text").count() == 0
