@@ -17,15 +17,18 @@ SIGN_LAST_TEXT = rf"^{_PAD}{_NUMBER}[+-]{_PAD}$"
 DECIMAL_LIMIT = 79228162514264337593543950335.0
 
 # Shapes of date text. Year 0000 is no year.
+_TIME = r"([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?"
+_OFFSET = r"(Z|[+-](0\d|1[0-3]):[0-5]\d|[+-]14:00)"
 DAY_FIRST = r"^\d{3,4}(?!0000)\d{4}$"
-ISO = r"^(?!0000)\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:\d{2})?)?$"
-MONTH_FIRST = r"^\d{1,2}/\d{1,2}/(?!0000)\d{4}$"
-MONTH_NAME = r"^\d{2}-[A-Za-z]{3}-(?!0000)\d{4}$"
+YEAR_FIRST = rf"^(?!0000)\d{{4}}([-/])\d{{1,2}}\1\d{{1,2}}([T ]{_TIME}{_OFFSET}?)?$"
+MONTH_FIRST = rf"^\d{{1,2}}/\d{{1,2}}/(?!0000)\d{{4}}( {_TIME})?$"
+MONTH_NAME = rf"^\d{{1,2}}-[A-Za-z]{{3}}-(?!0000)\d{{4}}( {_TIME})?$"
 
 
 def parse_feed_date(col: Column) -> Column:
-    """Date of a feed (F1): ddMMyyyy or dMMyyyy; ISO date or timestamp, cut to the day; month
-    first with slashes; dd-MMM-yyyy. Anything else, and a day that does not exist, is NULL."""
+    """Date of a feed (F1): ddMMyyyy or dMMyyyy; year first with dashes or slashes; month first
+    with slashes; d-MMM-yyyy. A time of day may follow all but the first and is cut off. Anything
+    else, and a day or time that does not exist, is NULL."""
     return stripped_date(strip_space(col))
 
 
@@ -34,19 +37,24 @@ def stripped_date(text: Column) -> Column:
 
     All shapes in digits are put into one, so that one date parser serves them.
     """
+    day = F.split_part(F.split_part(text, F.lit(" "), F.lit(1)), F.lit("T"), F.lit(1))
 
-    def slash_part(i: int) -> Column:
-        return F.lpad(F.split_part(text, F.lit("/"), F.lit(i)), 2, "0")
+    def part(sep: str, i: int) -> Column:
+        return F.lpad(F.split_part(day, F.lit(sep), F.lit(i)), 2, "0")
 
+    def year(sep: str, i: int) -> Column:
+        return F.split_part(day, F.lit(sep), F.lit(i))
+
+    dashes = F.concat(part("-", 3), part("-", 2), year("-", 1))
+    slashes = F.concat(part("/", 3), part("/", 2), year("/", 1))
     digits = (
         F.when(text.rlike(DAY_FIRST), F.lpad(text, 8, "0"))
-        .when(
-            text.rlike(ISO),
-            F.concat(F.substring(text, 9, 2), F.substring(text, 6, 2), F.substring(text, 1, 4)),
-        )
-        .when(text.rlike(MONTH_FIRST), F.concat(slash_part(2), slash_part(1), F.right(text, F.lit(4))))
+        .when(text.rlike(YEAR_FIRST), F.when(F.substring(text, 5, 1) == "-", dashes).otherwise(slashes))
+        .when(text.rlike(MONTH_FIRST), F.concat(part("/", 2), part("/", 1), year("/", 3)))
     )
-    named = F.when(text.rlike(MONTH_NAME), F.try_to_date(text, "dd-MMM-yyyy"))
+    # The month's name may hold a T, so the day is cut off at the blank alone.
+    named_day = F.split_part(text, F.lit(" "), F.lit(1))
+    named = F.when(text.rlike(MONTH_NAME), F.try_to_date(F.lpad(named_day, 11, "0"), "dd-MMM-yyyy"))
     return F.coalesce(F.try_to_date(digits, "ddMMyyyy"), named)
 
 

@@ -167,7 +167,7 @@ def spoiled_value() -> Column:
 
 
 def spoiled_date() -> Column:
-    """``o_orderdate`` as date text in eight shapes, the last of them no date."""
+    """``o_orderdate`` as date text in sixteen shapes, the last four of them no date."""
     day = F.col("o_orderdate").cast("date")
     shapes = [
         F.date_format(day, "dMMyyyy"),
@@ -177,11 +177,19 @@ def spoiled_date() -> Column:
         F.date_format(day, "dd-MMM-yyyy"),
         F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss"),
         F.concat(F.lit("  "), F.date_format(day, "ddMMyyyy"), F.lit(" ")),
+        F.date_format(day, "yyyy-M-d"),
+        F.date_format(day, "yyyy/MM/dd HH:mm:ss"),
+        F.date_format(day, "d-MMM-yyyy"),
+        F.concat(F.date_format(day, "M/d/yyyy"), F.lit(" 0:00")),
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T23:59:59.5+05:30")),
         F.concat(F.lit("3102"), F.date_format(day, "yyyy")),
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 99:99")),
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T25:00:00")),
+        F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T10:00:00+99:99")),
     ]
     out = F.lit(None).cast("string")
     for i, shape in enumerate(shapes):
-        out = F.when(F.col("o_orderkey") % 8 == i, shape).otherwise(out)
+        out = F.when(F.col("o_orderkey") % 16 == i, shape).otherwise(out)
     return out
 
 

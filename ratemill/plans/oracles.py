@@ -161,7 +161,7 @@ ORACLES = {
         FROM customer JOIN wanted ON true
         UNION ALL SELECT c_custkey, c_mktsegment, 'extra' FROM customer""",
     "feed_dates": """
-        SELECT o_orderkey, CASE WHEN o_orderkey % 8 < 7 THEN CAST(o_orderdate AS DATE) END AS day
+        SELECT o_orderkey, CASE WHEN o_orderkey % 16 < 12 THEN CAST(o_orderdate AS DATE) END AS day
         FROM orders""",
     "safe_convert": f"""
         SELECT event_id, coalesce({RAW}, '') AS as_text, coalesce({AS_INT}, 0) AS as_int,

@@ -21,6 +21,26 @@ DATES = {
     "01-APR-2026": APRIL,
     "2026-04-01T23:59:59": APRIL,
     "2026-04-01 10:00:00.123Z": APRIL,
+    "2026-04-01 23:59": APRIL,
+    "2026-04-01T23:59:59+05:30": APRIL,
+    "2026-4-1": APRIL,
+    "2026/04/01": APRIL,
+    "2026/4/1 7:05": APRIL,
+    "2026/04/01 07:05:00-03:00": APRIL,
+    "1-Apr-2026": APRIL,
+    "11-Oct-2026 0:00": dt.date(2026, 10, 11),
+    "4/1/2026 0:00": APRIL,
+    "04/01/2026 13:30:15": APRIL,
+    "2026-04-01 99:99": None,
+    "2026-04-01T25:00:00": None,
+    "2026-04-01T10:60": None,
+    "2026-04-01T10:00:60": None,
+    "2026-04-01T10:00:00+99:99": None,
+    "2026-04-01T10:00:00+14:30": None,
+    "2026-04/01": None,
+    "4/1/2026 24:00": None,
+    "1-Apr-2026 9:99": None,
+    "2026-2-30": None,
     "29022024": dt.date(2024, 2, 29),
     "31022026": None,
     "29022026": None,
