@@ -12,10 +12,12 @@ from ratemill.session import new_scratch, written
 _PLACE_BITS = 33
 
 
-def placed_rows(df: DataFrame, order: list[str], path: str) -> DataFrame:
+def placed_rows(df: DataFrame, order: list[str], path: str, parts: int | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted along ``order``, written to ``path`` with the partition
     of each row and its place in it."""
-    ranged = df.repartitionByRange(*[F.col(c) for c in order]).sortWithinPartitions(*order)
+    by = [F.col(c) for c in order]
+    ranged = df.repartitionByRange(parts, *by) if parts else df.repartitionByRange(*by)
+    ranged = ranged.sortWithinPartitions(*order)
     place = F.monotonically_increasing_id().bitwiseAND((1 << _PLACE_BITS) - 1)
     return written(ranged.withColumns({"_part": F.spark_partition_id(), "_place": place}), path)
 

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ratemill.functions.convert import strict_int
-from ratemill.operators.ids import assign_ids
-from ratemill.session import BROADCAST_ROWS
+from ratemill.operators.ids import assign_ids, placed_rows
+from ratemill.session import BROADCAST_ROWS, new_scratch, written
 
 INSERT, UPDATE, UNCHANGED = "INSERT", "UPDATE", "UNCHANGED"
 
@@ -27,8 +27,6 @@ INSERT, UPDATE, UNCHANGED = "INSERT", "UPDATE", "UNCHANGED"
 # more. So there are fewer than HOT_KEYS hot keys whatever the data: a bounded broadcast.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 100_000
-# Rows of one chunk of a hot key, where the order is one number.
-CHUNK_ROWS = 262_144
 
 
 @dataclass(frozen=True)
@@ -72,10 +70,10 @@ def with_match(df: DataFrame, rule: MergeRule) -> DataFrame:
     return df.withColumns({f"_match_{k}": c for k, c in rule.rewritten.items()})
 
 
-def matched_rows(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Batch rows whose key the target has (J1). The target is reduced to its keys first, so a
-    key that repeats on both sides makes no pairs."""
-    return batch.join(target.select(*key).distinct(), key, "left_semi")
+def matched_rows(rows: DataFrame, other: DataFrame, key: list[str]) -> DataFrame:
+    """Rows whose key ``other`` has (J1). ``other`` is reduced to its keys first, so a key that
+    repeats on both sides makes no pairs and no crowded partition."""
+    return rows.join(other.select(*key).distinct(), key, "left_semi")
 
 
 def rows_differ(left: list[Column], right: list[Column]) -> Column:
@@ -103,7 +101,8 @@ def _differs_from_state(values: Column) -> Column:
 def changed_rows(batch: DataFrame, target: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
     """Batch rows whose key has a target row with other values."""
     values = F.struct(*columns)
-    found = batch.join(key_states(target, key, values), key)
+    met = matched_rows(target, batch, key)
+    found = batch.join(key_states(met, key, values), key)
     return found.where(_differs_from_state(values)).select(*batch.columns)
 
 
@@ -198,25 +197,26 @@ def update_matched(target: DataFrame, collapsed: DataFrame, rule: MergeRule) ->
     )
 
 
-def insert_unmatched(target: DataFrame, collapsed: DataFrame, rule: MergeRule) -> DataFrame:
-    """Rows of ``collapsed`` whose key the target does not have.
-
-    The target side is its key columns only, made distinct before the shuffle.
-    """
-    keys = with_match(target, rule).select(*rule.match).distinct()
-    return collapsed.join(keys, rule.match, "left_anti").select(*rule.columns, "_first")
+def matched_keys(target: DataFrame, collapsed: DataFrame, rule: MergeRule) -> DataFrame:
+    """The keys of ``collapsed`` that the target has: a pass over the target's key columns, in
+    which Spark broadcasts the batch's keys if they measure small."""
+    keys = with_match(target, rule).select(*rule.match)
+    return matched_rows(keys, collapsed, rule.match).distinct()
 
 
 def apply_collapsed(
     target: DataFrame, collapsed: DataFrame, rule: MergeRule, id_col: str | None, start: int = 0
 ) -> DataFrame:
-    """The merged table. New rows get ids after ``start`` in order of first appearance (M8)."""
+    """The merged table. New rows get ids after ``start`` in order of first appearance (M8).
+
+    ``collapsed`` should be written, so that Spark knows its size.
+    """
     kept = update_matched(target, collapsed, rule)
-    new = insert_unmatched(target, collapsed, rule)
+    new = collapsed.join(matched_keys(target, collapsed, rule), rule.match, "left_anti")
     if id_col is None:
         return kept.unionByName(new.select(*rule.columns))
-    new = assign_ids(new, ["_first"], start, id_col).select(*rule.columns, id_col)
-    return kept.unionByName(new)
+    new = assign_ids(new.select(*rule.columns, "_first"), ["_first"], start, id_col)
+    return kept.unionByName(new.select(*rule.columns, id_col))
 
 
 def last_id(target: DataFrame, id_col: str) -> int:
@@ -232,7 +232,9 @@ def upsert(
     :func:`merge_actions`. Keys must not be NULL (a NULL key is a constraint violation).
     """
     start = last_id(target, id_col) if id_col else 0
-    return apply_collapsed(target, collapse_batch(batch, rule, order), rule, id_col, start)
+    collapsed = collapse_batch(batch, rule, order).select(*rule.columns, "_first", "_n")
+    collapsed = written(collapsed, new_scratch(batch.sparkSession, "collapsed"))
+    return apply_collapsed(target, with_match(collapsed, rule), rule, id_col, start)
 
 
 def hot_keys(
@@ -255,7 +257,7 @@ def merge_actions(
     order: list[str],
     chunk: list[Column] | None = None,
     hot_rows: int = HOT_ROWS,
-    chunk_rows: int = CHUNK_ROWS,
+    chunk_parts: int | None = None,
     n_rows: int | None = None,
 ) -> DataFrame:
     """Every batch row with its ``_action``: INSERT, UPDATE or UNCHANGED (M4).
@@ -264,25 +266,22 @@ def merge_actions(
     finds the row before is partitioned by key. The rows of a hot key are cut into chunks along
     the order; the last row of a chunk is carried over to the next one that has the key.
 
-    ``chunk`` are whole numbers that never fall along ``order``; the default is the order
-    without its last column, or blocks of ``chunk_rows`` of a single numeric order. ``n_rows``
-    is the size of the batch if the caller knows it.
+    ``chunk`` are whole numbers that never fall along ``order``. Without them, and with a hot
+    key, the batch is range-partitioned along the order, whatever its types, and written; the
+    partition is the chunk. ``n_rows`` is the size of the batch if the caller knows it.
     """
     columns = batch.columns
-    if chunk is None:
-        chunk = (
-            [F.col(c) for c in order[:-1]]
-            if len(order) > 1
-            else [F.floor(F.col(order[0]) / F.lit(chunk_rows))]
-        )
     at, match = _order(order), rule.match
     compare = rule.updated if rule.update_when == "changed" else []
     values = F.struct(*compare) if compare else F.struct(F.lit(1).alias("one"))
     rows = with_match(batch, rule).withColumn("_values", values)
-    state = key_states(with_match(target, rule), match, values)
+    state = key_states(matched_rows(with_match(target, rule), rows, match), match, values)
 
     hot = hot_keys(rows, match, batch.count() if n_rows is None else n_rows, hot_rows)
     group = list(match)
+    if hot is not None and chunk is None:
+        rows = placed_rows(rows, order, new_scratch(batch.sparkSession, "chunks"), chunk_parts).drop("_place")
+        chunk = [F.col("_part")]
     if hot is not None:
         # Fewer than HOT_KEYS rows by construction.
         rows = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), match, "left")

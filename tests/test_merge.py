@@ -1,12 +1,13 @@
 """The set-based merge against a merge of one row at a time."""
 
+import datetime as dt
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from ratemill.operators.ids import add_surrogate_key, assign_ids
-from ratemill.operators.merge import MergeRule, count_actions, merge_actions, upsert
+from ratemill.operators.merge import MergeRule, changed_rows, count_actions, merge_actions, upsert
 
 SCHEMA = "k int, g string, a string, b int"
 
@@ -71,10 +72,57 @@ def test_equals_row_by_row(spark, kind, seed):
 
     # Plain windows, then every key with over 4 rows cut into chunks.
     for hot_rows in (1_000_000, 4):
-        out = merge_actions(t, b, rule, ["n"], hot_rows=hot_rows, chunk_rows=7)
+        out = merge_actions(t, b, rule, ["n"], hot_rows=hot_rows, chunk_parts=6)
         assert [r._action for r in out.orderBy("n").collect()] == actions
 
 
+ORDERS = {
+    "fraction": (lambda i: (i / 7, i), "p double, id long"),
+    "time": (lambda i: (dt.datetime(2026, 1, 1) + dt.timedelta(milliseconds=250 * i), i), "p timestamp, id long"),
+    "text": (lambda i: (f"{i:05d}", i), "p string, id long"),
+    "coarse": (lambda i: (i // 5 / 2, i), "p double, id long"),
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+@pytest.mark.parametrize("columns", [["p"], ["p", "id"]])
+def test_one_answer_on_both_sides_of_the_hot_size(spark, kind, columns):
+    if kind == "coarse" and columns == ["p"]:
+        return  # not an order of its own
+    make, schema = ORDERS[kind]
+    rng = random.Random(5)
+    batch = [{"k": rng.choice([1, 1, 1, 2, 3]), "g": "x", "a": rng.choice("pq"), "b": 1} for _ in range(120)]
+    rule = RULES["changed"]
+    _, actions = row_by_row([{"k": 1, "g": "x", "a": "p", "b": 1, "ID": 1}], batch, rule)
+    rows = [(*r.values(), *make(i)) for i, r in enumerate(batch)]
+    b = spark.createDataFrame(rows, f"{SCHEMA}, {schema}").repartition(3)
+    t = spark.createDataFrame([(1, "x", "p", 1)], SCHEMA)
+    for hot_rows in (1_000_000, 10):
+        out = merge_actions(t, b, rule, columns, hot_rows=hot_rows, chunk_parts=9)
+        assert [r._action for r in out.orderBy("id").collect()] == actions
+
+
+def test_a_small_batch_does_not_shuffle_the_table(spark, tmp_path):
+    rule = MergeRule(("k",), ("k", "a"))
+    spark.range(5000).selectExpr("id AS k", "'old' AS a", "id + 1 AS ID").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame([(7, "new", 1), (9000, "new", 2)], "k long, a string, n int")
+    got = upsert(table, batch, rule, ["n"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("LeftOuter") == 1
+    assert got.where("a = 'new'").orderBy("k").collect() == [(7, "new", 8), (9000, "new", 5001)]
+
+
+def test_only_rows_of_the_batchs_keys_are_reduced(spark, tmp_path):
+    spark.range(5000).selectExpr("id AS k", "'old' AS a").write.parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    batch = spark.createDataFrame([(7, "new"), (8, "old"), (9000, "new")], "k long, a string")
+    found = changed_rows(batch, table, ["k"], ["a"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("LeftSemi") > plan.index("partial_min")  # below the aggregate
+    assert found.collect() == [(7, "new")]
+
+
 def test_hot_key_over_many_chunks_with_tuple_order(spark):
     """Most rows have one key; the order is (block, id), the chunk its block."""
     rng = random.Random(3)
