@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ratemill.plans.importer import ABORT, import_files
+from ratemill.sources.lines import literal
 from ratemill.sources.store import TableStore
 
+# Files are remembered and taken whatever their time stamp.
+NO_AGE_LIMIT = "36500d"
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -16,32 +22,42 @@ def import_stream(
     store: TableStore,
     checkpoint: str,
     policy: str = ABORT,
-    name: str = "landing",
     max_files: int | None = None,
 ) -> None:
     """Import the files that are new since the last call, oldest first, and return.
 
-    The stream's checkpoint remembers the files seen. A batch replayed after a failure is known
-    by its number, which the published version holds, and is not imported twice.
+    The stream's checkpoint remembers the files seen, of any age. A batch replayed after a
+    failure is known by the id of the checkpoint, its number and its files, which the published
+    version holds, and is not imported twice. A fresh checkpoint sees all files of the folder as
+    new and imports them again, which merges the same rows once more.
     """
 
     def import_batch(batch: DataFrame, number: int) -> None:
         found = sorted(batch.collect(), key=lambda r: (r.modificationTime, r.path))
         if found:
             paths = [r.path for r in found]
-            import_files(batch.sparkSession, paths, store, policy, tag=(name, number))
+            files = "\n".join(f"{r.path} {r.length} {r.modificationTime.timestamp()}" for r in found)
+            digest = hashlib.sha256(files.encode()).hexdigest()
+            tag = (_stream_id(batch.sparkSession, checkpoint), number, digest)
+            import_files(batch.sparkSession, [literal(p) for p in paths], store, policy, tag=tag)
 
-    # Only path and time are selected, so the files are listed here and not read.
+    # Only path, time and length are selected, so the files are listed here and not read.
     reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
-    reader = reader.option("recursiveFileLookup", "true")
+    reader = reader.option("recursiveFileLookup", "true").option("maxFileAge", NO_AGE_LIMIT)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     query = (
         reader.load(landing)
-        .select("path", "modificationTime")
+        .select("path", "modificationTime", "length")
         .writeStream.foreachBatch(import_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+
+
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a checkpoint when its stream first starts."""
+    text = spark.read.text(f"{literal(checkpoint)}/metadata", wholetext=True).first()[0]
+    return json.loads(text)["id"]

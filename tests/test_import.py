@@ -1,4 +1,8 @@
 import datetime as dt
+import glob
+import gzip
+import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +10,7 @@ from pyspark.sql import functions as F
 from ratemill import FACTOR, RENEWAL, STUMPAGE, ImportAborted, TableStore, import_files
 from ratemill.operators.classify import classify_feed
 from ratemill.session import new_scratch, written
+from ratemill.sources import lines
 from ratemill.sources.import_log import read_import_log
 from ratemill.sources.lines import (
     LINE_ORDER,
@@ -76,15 +81,15 @@ def test_line_order_over_many_splits(spark, write):
         assert [f.path.rsplit("/", 1)[1] for f in files] == ["b.txt", "a.txt"]
         scan = read_lines(spark, paths)
         assert scan.rdd.getNumPartitions() > 8
-        lines = scan.join(file_table(spark, files), "_file")
-        lines = written(lines.select(*LINE_ORDER, "value"), new_scratch(spark, "t"))
+        table = scan.join(file_table(spark, files), "_file")
+        table = written(table.select(*LINE_ORDER, "value"), new_scratch(spark, "t"))
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     want = [f"{f}:{i}" for f in ("b", "a") for i in range(n)]
-    assert [r.value for r in lines.orderBy(*LINE_ORDER).collect()] == want
-    per_file = number_lines(lines, lines).collect()
+    assert [r.value for r in table.orderBy(*LINE_ORDER).collect()] == want
+    per_file = number_lines(table, table).collect()
     assert all(int(r.value[2:]) + 1 == r._line_no for r in per_file)
-    across = number_lines(lines, lines, across_files=True).orderBy("_line_no").collect()
+    across = number_lines(table, table, across_files=True).orderBy("_line_no").collect()
     assert [r.value for r in across] == want
 
 
@@ -232,14 +237,13 @@ def test_skip_sets_bad_rows_and_files_aside(spark, store, write):
     }
 
 
-def test_missing_column_is_a_violation_and_header_only_is_not(spark, store, write):
-    header = STUMPAGE_HEADER.replace(",RATE,", ",")
-    path = write("h.csv", header + "\n")
+def test_missing_column_of_a_strict_feed_is_a_problem_and_header_only_is_not(spark, store, write):
+    path = write("h.csv", STUMPAGE_HEADER + "\n")
     result = import_files(spark, [path], store)
     assert result.processed == {"stumpage": 0}
     assert [r.level for r in result.files.collect()] == ["WARNING"]
-    path = write("m.csv", header + "\nS,1,P,N,G,g,R,r,1042026,1042026\n")
-    with pytest.raises(ImportAborted, match="RATE conversion"):
+    path = write("m.csv", STUMPAGE_HEADER.replace(",RATE,", ",") + "\nS,1,P,N,G,g,R,r,1042026,1042026\n")
+    with pytest.raises(ImportAborted, match="lacks columns: RATE"):
         import_files(spark, [path], store)
 
 
@@ -294,9 +298,152 @@ def test_stream_imports_every_file_once(spark, store, write, tmp_path):
     import_stream(spark, landing, store, checkpoint)
     assert rows(store, STUMPAGE, "RATE_ID", "RATE", "ID") == {(1, 1.5, 1), (2, 9.0, 2), (3, 1.5, 3)}
     # A batch that is replayed is not imported again.
-    number = store.version().tags["landing"]
-    again = import_files(spark, [landing], store, tag=("landing", number))
+    ((stream, (number, digest)),) = store.version().tags.items()
+    again = import_files(spark, [landing], store, tag=(stream, number, digest))
     assert again.processed == {} and store.version().number == again.version
+    with pytest.raises(ValueError, match="with other files"):
+        import_files(spark, [landing], store, tag=(stream, number, "other"))
+
+
+def test_stream_of_two_folders_and_a_fresh_checkpoint(spark, store, write, tmp_path):
+    for k in (1, 2):
+        write(f"land{k}/a.csv", text(STUMPAGE_HEADER, stumpage(k, "P")))
+        import_stream(spark, str(tmp_path / "in" / f"land{k}"), store, str(tmp_path / f"check{k}"))
+    assert rows(store, STUMPAGE, "RATE_ID") == {(1,), (2,)}
+    write("land1/b.csv", text(STUMPAGE_HEADER, stumpage(3, "P")))
+    import_stream(spark, str(tmp_path / "in" / "land1"), store, str(tmp_path / "fresh"))
+    assert rows(store, STUMPAGE, "RATE_ID", "ID") == {(1, 1), (2, 2), (3, 3)}
+
+
+def test_stream_takes_files_of_any_age(spark, store, write, tmp_path):
+    landing, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P")))
+    import_stream(spark, landing, store, checkpoint)
+    old = write("b[1].csv", text(STUMPAGE_HEADER, stumpage(2, "P")))
+    os.utime(old, (1_500_000_000, 1_500_000_000))
+    import_stream(spark, landing, store, checkpoint)
+    assert rows(store, STUMPAGE, "RATE_ID") == {(1,), (2,)}
+
+
+def test_names_that_look_like_patterns(spark, store, write):
+    path = write("a[1].csv", text(STUMPAGE_HEADER, stumpage(1, "P")))
+    write("a1.csv", text(STUMPAGE_HEADER, stumpage(2, "P")))
+    result = import_files(spark, [path], store)
+    assert result.processed == {"stumpage": 1} and rows(store, STUMPAGE, "RATE_ID") == {(1,)}
+    assert [f.path.rsplit("/", 1)[1] for f in list_files(spark, [path.replace("a[1]", "a?")])] == ["a1.csv"]
+    import_files(spark, [path.rsplit("/", 1)[0]], store)
+    assert rows(store, STUMPAGE, "RATE_ID") == {(1,), (2,)}
+
+
+def test_a_hidden_name_is_an_error_that_is_logged(spark, store, write):
+    seen = write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P")))
+    hidden = write("_b.csv", text(STUMPAGE_HEADER, stumpage(2, "P")))
+    with pytest.raises(ValueError, match="_b.csv"):
+        import_files(spark, [seen, hidden], store)
+    log = read_import_log(spark, f"{store.root}/_log").collect()
+    assert {r.level for r in log} == {"ERROR"} and store.version().number == 0
+
+
+def test_headers_are_read_from_the_beginning_only(spark, store, write, monkeypatch):
+    path = write("a.csv", "\n \n" + text(STUMPAGE_HEADER, *[stumpage(i, "P") for i in range(3)]))
+
+    def no_scan(*_):
+        raise AssertionError("the text was scanned for a header")
+
+    monkeypatch.setattr(lines, "first_lines", no_scan)
+    assert import_files(spark, [path], store).processed == {"stumpage": 3}
+
+
+@pytest.mark.parametrize("limit", [30, 1 << 20])
+def test_headers_beyond_the_beginning(spark, write, monkeypatch, limit):
+    monkeypatch.setattr(lines, "HEAD_BYTES", limit)
+    a = write("a.csv", " \n" * 40 + "x,y\r1,2\r")
+    b = write("b.csv", b"\xef\xbb\xbf" + b"x,y\n3,4")
+    c = write("c.csv", gzip.compress(b"q\n5\n"))
+    os.rename(c, c + ".gz")
+    tables = read_delimited(spark, [a, b, c + ".gz"], new_scratch(spark, "t"))
+    assert {t.names: sorted(tuple(r) for r in t.df.select(*t.names).collect()) for t in tables} == {
+        ("x", "y"): [("1", "2"), ("3", "4")],
+        ("q",): [("5",)],
+    }
+
+
+def test_utf16_is_named(spark, store, write):
+    path = write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P")).encode("utf-16"))
+    with pytest.raises(ImportAborted, match="UTF-16"):
+        import_files(spark, [path], store)
+
+
+def test_an_import_that_fails_is_logged_and_leaves_nothing(spark, store, write, monkeypatch):
+    path = write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P")))
+
+    def broken(version):
+        raise OSError("no space")
+
+    monkeypatch.setattr(store, "publish", broken)
+    with pytest.raises(OSError):
+        import_files(spark, [path], store)
+    (entry,) = read_import_log(spark, f"{store.root}/_log").collect()
+    assert (entry.level, entry.file.rsplit("/", 1)[1]) == ("ERROR", "a.csv") and "no space" in entry.message
+    assert store.version().number == 0
+    assert not glob.glob(f"{store.root}/**/*.parquet", recursive=True) or all(
+        "/_log/" in f or "/_headers/" in f for f in glob.glob(f"{store.root}/**/*.parquet", recursive=True)
+    )
+
+
+def test_the_log_survives_a_stop_after_publishing(spark, store, write, monkeypatch):
+    path = write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P")))
+    settle = store.settle_log
+    calls = []
+
+    def stop(run):
+        calls.append(run)
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+        settle(run)
+
+    monkeypatch.setattr(store, "settle_log", stop)
+    with pytest.raises(KeyboardInterrupt):
+        import_files(spark, [path], store)
+    assert rows(store, STUMPAGE, "RATE_ID") == {(1,)}
+    monkeypatch.undo()
+    import_files(spark, [path], store)
+    log = read_import_log(spark, f"{store.root}/_log").collect()
+    assert [r.level for r in log] == ["SUCCESS"] * 2 and len({r.run for r in log}) == 2
+
+
+def test_one_writer_wins(spark, tmp_path):
+    for k in range(20):
+        store = TableStore(spark, str(tmp_path / f"s{k}"))
+        gate, wins = threading.Barrier(2), []
+
+        def publish(me):
+            gate.wait()
+            try:
+                store.publish(Version(number=1, run=me))
+                wins.append(me)
+            except Conflict:
+                pass
+
+        threads = [threading.Thread(target=publish, args=(m,)) for m in "ab"]
+        for t in threads:
+            t.start()
+        for t in threads:
+            t.join()
+        assert len(wins) == 1 and store.version().run == wins[0]
+
+
+def test_header_report(spark, store, write):
+    lacking = write("a.csv", STUMPAGE_HEADER.replace(",RATE,", ",") + ",EXTRA\nS,1,P,N,G,g,R,r,1042026,1042026,z\n")
+    good = write("b.csv", text(STUMPAGE_HEADER, stumpage(2, "P")))
+    with pytest.raises(ImportAborted, match="lacks columns: RATE"):
+        import_files(spark, [lacking, good], store)
+    result = import_files(spark, [lacking, good], store, policy="skip")
+    assert result.processed == {"stumpage": 1}
+    odd = result.headers.where("status <> 'matched'").collect()
+    assert {(r.file.rsplit("/", 1)[1], r.column, r.status) for r in odd} == {("a.csv", "RATE", "missing"), ("a.csv", "EXTRA", "extra")}
+    assert result.headers.where("status = 'matched'").count() == 2 * len(STUMPAGE.names) - 1
+    assert {r.level for r in result.files.where("file LIKE '%a.csv'").collect()} == {"ERROR"}
 
 
 def test_collated_keys_in_a_store(spark, tmp_path, write):
