@@ -40,6 +40,7 @@ STUMPAGE_ROWS = """
     CAST(DATE '2026-04-01' + p_size AS DATE) AS "EFFECTIVE_DATE",
     CAST(DATE '2026-04-01' + p_size + 365 AS DATE) AS "EXPIRY_DATE" """
 
+FACTOR_ORDER = "l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_tax"
 FACTOR_ROWS = """
     l_returnflag AS "TYPE", CAST(l_orderkey AS INTEGER) AS "FACTOR_ID", '' AS "APPROVAL_NUMBER",
     '' AS "SCALING_METHOD_CODE", l_returnflag AS "TALLY_DESTINATION_CODE",
@@ -248,8 +249,8 @@ ORACLES = {
             CAST(100 + row_number() OVER (ORDER BY o_orderpriority, o_custkey, o_orderkey) AS BIGINT) AS "ID"
         FROM orders""",
     "add_surrogate_key": """
-        SELECT * EXCLUDE (l_shipdate), CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey,
-            l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus)
+        SELECT *, CAST(row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber,
+            l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate)
             AS BIGINT) AS "ID"
         FROM lineitem""",
     "duplicate_keys": """
@@ -290,11 +291,25 @@ ORACLES = {
             count(*) AS row_count, count(*) AS processed, CAST(0 AS BIGINT) AS error_count
         FROM part GROUP BY p_partkey // 50000""",
     "import_two_months": f"""
-        SELECT {FACTOR_ROWS} FROM (
+        WITH a AS (SELECT *, l_shipdate >= TIMESTAMP '{SHIP_CUT}' AS late FROM lineitem),
+        o AS (
+            SELECT *, row_number() OVER (ORDER BY late, l_orderkey, {FACTOR_ORDER}) AS n FROM a),
+        k AS (
             SELECT *, row_number() OVER (
-                PARTITION BY l_orderkey, l_returnflag, l_linestatus, l_linenumber
-                ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
-                    l_extendedprice DESC, l_tax DESC) AS r
-            FROM lineitem) WHERE r = 1""",
-    "import_stream": f"SELECT {STUMPAGE_ROWS} FROM part",
+                    PARTITION BY l_orderkey, l_returnflag, l_linestatus, l_linenumber ORDER BY n DESC) AS r,
+                min(n) OVER (PARTITION BY l_orderkey, l_returnflag, l_linestatus, l_linenumber) AS first
+            FROM o)
+        SELECT {FACTOR_ROWS}, CAST(row_number() OVER (ORDER BY first) AS BIGINT) AS "ID"
+        FROM k WHERE r = 1""",
+    "import_headers": """
+        SELECT file_no, 'stumpage' AS feed, c.column_name, c.status
+        FROM (SELECT DISTINCT CAST(p_partkey // 50000 AS BIGINT) AS file_no FROM part),
+            (VALUES ('TYPE', 'matched'), ('RATE_ID', 'matched'), ('PRODUCT_TYPE_CODE', 'matched'),
+                ('PRODUCT_TYPE_NAME', 'matched'), ('SPECIES_GROUP_CODE', 'matched'),
+                ('SPECIES_GROUP_NAME', 'matched'), ('RATE_TYPE_CODE', 'matched'),
+                ('RATE_TYPE_NAME', 'matched'), ('RATE', 'matched'), ('EFFECTIVE_DATE', 'matched'),
+                ('EXPIRY_DATE', 'matched'), ('NOTE', 'extra')) c(column_name, status)""",
+    "import_stream": f"""
+        SELECT {STUMPAGE_ROWS}, CAST(row_number() OVER (ORDER BY p_partkey % 2, p_partkey) AS BIGINT) AS "ID"
+        FROM part""",
 }

@@ -344,8 +344,7 @@ def assign_ids(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def add_surrogate_key(spark: SparkSession, sf: str) -> DataFrame:
-    lines = table(spark, sf, "lineitem").drop("l_shipdate")
-    return ids.add_surrogate_key(lines, ["l_orderkey"])
+    return ids.add_surrogate_key(table(spark, sf, "lineitem"), ["l_orderkey"])
 
 
 # -- audits and checks -------------------------------------------------------------------------
@@ -437,15 +436,29 @@ def import_two_months(spark: SparkSession, sf: str) -> DataFrame:
             inputs.factor_lines(half), inputs.FACTOR_HEADER, f"{scratch}/{name}"
         )
         import_files(spark, [folder], store)
-    return store.read(FACTOR).drop("ID")
+    return store.read(FACTOR)
+
+
+def import_headers(spark: SparkSession, sf: str) -> DataFrame:
+    """The header report of files with one column too many."""
+    scratch = new_scratch(spark, "job")
+    lines = inputs.stumpage_lines(table(spark, sf, "part"))
+    folder = inputs.write_files(lines, f"{inputs.STUMPAGE_HEADER},note", f"{scratch}/in")
+    result = import_files(spark, [folder], TableStore(spark, f"{scratch}/store"))
+    file_no = F.regexp_extract("file", r"file_no=(\d+)", 1).cast("long").alias("file_no")
+    return result.headers.select(file_no, "feed", F.col("column").alias("column_name"), "status")
 
 
 def import_stream_folder(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts with an even key arrive first, the others with the second call."""
     scratch = new_scratch(spark, "job")
     store = TableStore(spark, f"{scratch}/store")
-    folder = _stumpage_files(spark, sf, scratch)
-    import_stream(spark, folder, store, f"{scratch}/checkpoint")
-    return store.read(STUMPAGE).drop("ID")
+    parts = table(spark, sf, "part")
+    for rest in (0, 1):
+        lines = inputs.stumpage_lines(parts.where(F.col("p_partkey") % 2 == rest))
+        inputs.write_files(lines, inputs.STUMPAGE_HEADER, f"{scratch}/landing/arrival{rest}")
+        import_stream(spark, f"{scratch}/landing", store, f"{scratch}/checkpoint")
+    return store.read(STUMPAGE)
 
 
 QUERIES = {
@@ -489,5 +502,6 @@ QUERIES = {
     "import_end_to_end": import_end_to_end,
     "import_log": import_log,
     "import_two_months": import_two_months,
+    "import_headers": import_headers,
     "import_stream": import_stream_folder,
 }
