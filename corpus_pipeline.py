@@ -18,9 +18,10 @@ MIN_LANGUAGE_SCORE = 0.5
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a letter, and those whose best language has less than half the score, go."""
     model = langid.identify(docs, "doc_id", "text", "lang")
-    found = langid.predict(docs, "text", model, "_language", "_score")
+    rows = docs.select(F.struct("*").alias("_row"), F.col("text").alias("_text"))
+    found = langid.predict(rows, "_text", model, "_language", "_score")
     kept = found.where((F.col("_language") != langid.UNDETERMINED) & (F.col("_score") >= MIN_LANGUAGE_SCORE))
-    return kept.select(*docs.columns)
+    return kept.select("_row.*")
 
 
 def keep_good_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,12 +34,12 @@ def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     """Of each group of near-duplicates the document with the smallest id stays; the text decides
     between equal ids, and of equal rows one stays."""
     key = F.struct(F.col("doc_id").alias("id"), text_key(F.col("text")).alias("text"))
-    keyed = docs.withColumn("_key", key)
-    groups = simhash.near_duplicates(keyed, "_key", "text", shingle=3, distance=3)
+    keyed = docs.select(F.struct("*").alias("_row"), key.alias("_key"), F.col("text").alias("_text"))
+    groups = simhash.near_duplicates(keyed, "_key", "_text", shingle=3, distance=3)
     first = groups.where(F.col("_key") == F.col("component_id")).select("_key").distinct()
     nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
     kept = keyed.join(first, "_key", "left_semi").withColumn("_nth", nth).where("_nth = 1")
-    return kept.select(*docs.columns)
+    return kept.select("_row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -138,7 +138,8 @@ def train(docs: DataFrame, text_col: str, label_col: str, key: Column, sample_do
 
 
 def predict(docs: DataFrame, text_col: str, model: Model, language: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and the share of the best language."""
+    """``docs`` with the predicted language and the share of the best language, under names that
+    ``docs`` must not have."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

@@ -72,6 +72,9 @@ def test_nulls_and_repeated_rows(spark):
     rows = [(1, text, "en", "s", 5), (1, text, "en", "s", 5), (2, text, None, None, None), (None, text, "en", "s", 5), (None, text + " more", "en", "s", 1),
             (3, None, "en", "s", 0), (4, "", "en", "s", 0), (5, "123", None, "s", 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    more = docs.selectExpr("*", "'x' AS _key", "1 AS _row", "2 AS _score", "3 AS key", "4 AS fp")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        assert stage(spark, more, SF).columns == more.columns
     one = corpus_pipeline.keep_known_languages(spark, docs, SF)
     assert one.count() == 5
     two = corpus_pipeline.keep_good_texts(spark, one, SF)
