@@ -24,7 +24,7 @@ from ratemill.session import BROADCAST_ROWS, new_scratch, written
 INSERT, UPDATE, UNCHANGED = "INSERT", "UPDATE", "UNCHANGED"
 
 # A key of a batch is hot above HOT_ROWS rows, or above one HOT_KEYS-th of the batch if that is
-# more. So there are fewer than HOT_KEYS hot keys whatever the data: a bounded broadcast.
+# more. So there are fewer than HOT_KEYS hot keys whatever the data.
 HOT_ROWS = 1_000_000
 HOT_KEYS = 100_000
 
@@ -157,14 +157,15 @@ def collapse_around(
     """:func:`collapse_batch` where the repeated keys are known.
 
     If they are few, the rows of all other keys pass through, and no whole row is shuffled for
-    them. Else the plain aggregate does the work.
+    them as long as Spark broadcasts the keys; ``repeated`` should be written, so that it goes by
+    their bytes. Else the plain aggregate does the work.
     """
     if n_repeated > BROADCAST_ROWS:
         return collapse_batch(batch, rule, order)
     keyed = with_match(batch, rule)
     single = keyed
     if n_repeated:
-        keys = F.broadcast(repeated.select(*rule.match))
+        keys = repeated.select(*rule.match)
         single = keyed.join(keys, rule.match, "left_anti")
     extra = [m for m in rule.match if m not in rule.key]
     single = single.select(
@@ -247,7 +248,8 @@ def hot_keys(
     if n_rows <= hot_rows:
         return None
     at_least = max(hot_rows, n_rows // max_keys)
-    return batch.groupBy(*match).count().where(F.col("count") > at_least).select(*match)
+    found = batch.groupBy(*match).count().where(F.col("count") > at_least).select(*match)
+    return written(found, new_scratch(batch.sparkSession, "hot"))
 
 
 def merge_actions(
@@ -283,8 +285,8 @@ def merge_actions(
         rows = placed_rows(rows, order, new_scratch(batch.sparkSession, "chunks"), chunk_parts).drop("_place")
         chunk = [F.col("_part")]
     if hot is not None:
-        # Fewer than HOT_KEYS rows by construction.
-        rows = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), match, "left")
+        # Fewer than HOT_KEYS rows by construction; written, so Spark knows their bytes.
+        rows = rows.join(hot.withColumn("_hot", F.lit(True)), match, "left")
         parts = [f"_chunk_{i}" for i in range(len(chunk))]
         rows = rows.withColumns(
             {

@@ -7,9 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# A table is broadcast by hint only when its row count is known and at most this. Its rows
-# describe files or hot keys (one short key and a few numbers each), so it stays below the
-# usual broadcast limits. Above it, the same equi-join is left to the planner.
+# A table is broadcast by hint only when its row count is known and at most this, and its rows are
+# a few numbers each (a file's number and counts), so it stays below 10 MB. Tables with text are
+# written and left to the planner, which goes by their bytes.
 BROADCAST_ROWS = 200_000
 
 _local_scratch: str | None = None
