@@ -200,3 +200,39 @@ def test_repeated_rows_and_few_rows(spark):
     one = spotsigs.edited_likeness(table.where("doc_id = 2"), "doc_id", "text").collect()
     assert [r.near_next for r in one] == [1.0]
     assert spotsigs.edited_likeness(table.limit(0), "doc_id", "text").count() == 0
+
+
+def class_ids(rows):
+    own = [spots(t or "") for _, t in rows]
+    root = list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for a in range(len(rows)):
+            for b in range(a):
+                if root[a] != root[b] and (own[a] == own[b] or (own[a] and own[b] and jaccard(own[a], own[b]) >= 0.8)):
+                    root[a] = root[b] = min(root[a], root[b])
+                    changed = True
+    return [(i, min((j for k, (j, _) in enumerate(rows) if root[k] == root[n] and j is not None), default=None)) for n, (i, _) in enumerate(rows)]
+
+
+def test_near_classes(spark):
+    import random
+
+    r = random.Random(8)
+    content = [f"word{i}" for i in range(300)]
+    rows = []
+    for family in range(6):
+        base = [w for _ in range(r.choice([6, 20, 40])) for w in ("the", r.choice(content), r.choice(content))]
+        for _ in range(12):
+            copy = base[: len(base) - 3 * r.randint(0, 4)]
+            for _ in range(r.randint(0, 3)):
+                copy[r.randrange(len(copy))] = r.choice(content)
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(200, "the same words here"), (201, "the same words here"), (202, ""), (203, None), (None, "der Hund of nobody"), (204, "without any anchors"), (3, rows[3][1])]
+    table = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, sid int")
+    got = [tuple(x) for x in spotsigs.near_classes(table, "doc_id", "text").collect()]
+    want = class_ids(rows)
+    assert len({c for _, c in want}) not in (1, len(want))
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert spotsigs.near_classes(table.limit(0), "doc_id", "text").count() == 0
