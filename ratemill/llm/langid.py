@@ -18,7 +18,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,8 @@ ORDERS = (4, 3, 2, 1)
 HELD_OUT = 2
 DISCOUNT = math.log(0.4)
 TEXT_BLOCK = 1 << 20
-KNOWN_WORDS = 200_000
+MET_WORDS = 1 << 16
+ROWS_AT_A_TIME = 1_000
 
 
 @dataclass
@@ -46,27 +47,57 @@ class Model:
     words: dict[str, np.ndarray]
     grams: list[dict[str, np.ndarray]]
     floor: float
-    seen: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def word(self, word: str) -> np.ndarray:
-        """Log scores of a word for all languages."""
-        known = self.words.get(word)
-        if known is None:
-            known = self.seen.get(word)
-        if known is None:
-            known = self._back_off(word)
-            if len(self.seen) >= KNOWN_WORDS:
-                self.seen.clear()
-            self.seen[word] = known
-        return known
-
-    def _back_off(self, word: str) -> np.ndarray:
-        marked = f"<{word}>"
-        for step, (size, table) in enumerate(zip(ORDERS, self.grams), 1):
-            found = [table[g] for i in range(len(marked) - size + 1) if (g := marked[i : i + size]) in table]
-            if found:
-                return np.mean(found, axis=0) + step * DISCOUNT
-        return np.full(len(self.languages), self.floor)
+
+    def _start(self) -> None:
+        """One matrix with the scores of the known words, and room for words met later."""
+        n = len(self.words)
+        self.rows = np.empty((n + MET_WORDS, len(self.languages)))
+        if n:
+            self.rows[:n] = list(self.words.values())
+        self.known = dict(zip(self.words, range(n)))
+        self.met: dict[str, int] = {}
+        self.gram_rows = [dict(zip(table, range(len(table)))) for table in self.grams]
+        self.gram_scores = [np.array(list(table.values())).reshape(-1, len(self.languages)) for table in self.grams]
+
+    def _back_off(self, words: list[str]) -> np.ndarray:
+        """Scores of words that are not known: the mean over a word's n-grams of the first size
+        of which any is known, less the discount for each size."""
+        out = np.full((len(words), len(self.languages)), self.floor)
+        left = list(range(len(words)))
+        for step, (size, rows, scores) in enumerate(zip(ORDERS, self.gram_rows, self.gram_scores), 1):
+            flat, counts, hit, rest = [], [], [], []
+            for i in left:
+                marked = f"<{words[i]}>"
+                found = [rows[g] for k in range(len(marked) - size + 1) if (g := marked[k : k + size]) in rows]
+                if found:
+                    flat += found
+                    counts.append(len(found))
+                    hit.append(i)
+                else:
+                    rest.append(i)
+            if hit:
+                n = np.array(counts)
+                out[hit] = np.add.reduceat(scores[flat], np.cumsum(n) - n) / n[:, None] + step * DISCOUNT
+            left = rest
+        return out
+
+    def score(self, words: list[str]) -> np.ndarray:
+        """Log scores of distinct words for all languages."""
+        if not hasattr(self, "rows"):
+            self._start()
+        out = np.empty((len(words), len(self.languages)))
+        for at in range(0, len(words), MET_WORDS):
+            some = words[at : at + MET_WORDS]
+            if len(self.met) + len(some) > MET_WORDS:
+                self.met.clear()
+            known, met = self.known, self.met
+            new = [w for w in some if w not in known and w not in met]
+            if new:
+                first = len(known) + len(met)
+                self.rows[first : first + len(new)] = self._back_off(new)
+                met.update(zip(new, range(first, first + len(new))))
+            out[at : at + len(some)] = self.rows[[known[w] if w in known else met[w] for w in some]]
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
         counts: Counter[str] = Counter()
@@ -74,8 +105,7 @@ class Model:
             counts.update(LETTERS.findall(part.lower()))
         if not self.languages or not any(c.isalpha() for w in counts for c in w):
             return UNDETERMINED, 0.0
-        rows = np.array([self.word(w) for w in counts])
-        total = np.array(list(counts.values()), float) @ rows
+        total = np.fromiter(counts.values(), float, len(counts)) @ self.score(list(counts))
         best = int(total.argmax())
         return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
 
@@ -146,7 +176,8 @@ def predict(docs: DataFrame, text_col: str, model: Model, language: str = "lang_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            found = [own.predict(t) for t in batch.column(at).to_pylist()]
+            column = batch.column(at)
+            found = [own.predict(t) for k in range(0, len(column), ROWS_AT_A_TIME) for t in column.slice(k, ROWS_AT_A_TIME).to_pylist()]
             added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*batch.schema.names, language, score])
 

@@ -60,8 +60,15 @@ def test_backing_off_is_in_order():
 
     grams = [{"<abc": np.array([1.0, 0.0])}, {"abc": np.array([2.0, 0.0])}, {}, {"z": np.array([3.0, 0.0])}]
     own = langid.Model(["a", "b"], {"abc": np.array([9.0, 0.0])}, grams, -50.0)
-    assert own.word("abc")[0] == 9.0
-    assert own.word("abcd")[0] == pytest.approx(1.0 + langid.DISCOUNT)
-    assert own.word("xabc")[0] == pytest.approx(2.0 + 2 * langid.DISCOUNT)
-    assert own.word("z")[0] == pytest.approx(3.0 + 4 * langid.DISCOUNT)
-    assert own.word("q")[0] == -50.0
+    want = [9.0, 1.0 + langid.DISCOUNT, 2.0 + 2 * langid.DISCOUNT, 3.0 + 4 * langid.DISCOUNT, -50.0]
+    words = ["abc", "abcd", "xabc", "z", "q"]
+    assert own.score(words)[:, 0].tolist() == pytest.approx(want)
+
+
+def test_words_met_later_are_forgotten_in_time(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(langid, "MET_WORDS", 3)
+    own = langid.Model(["a"], {"k": np.array([7.0])}, [{}, {}, {}, {c: np.array([float(i)]) for i, c in enumerate("abcdef")}], -50.0)
+    for words in (["a", "k", "b", "c", "d"], ["a", "e"], ["f", "k", "b"]):
+        assert own.score(words)[:, 0].tolist() == pytest.approx([7.0 if w == "k" else "abcdef".index(w) + 4 * langid.DISCOUNT for w in words])
