@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratemill.feeds import STUMPAGE
+
 # Lines of one rendered file; the number of files grows with the table.
 FILE_LINES = 50_000
 
-STUMPAGE_HEADER = (
-    "TYPE,RATE_ID,PRODUCT_TYPE_CODE,PRODUCT_TYPE_NAME,SPECIES_GROUP_CODE,SPECIES_GROUP_NAME,"
-    "RATE_TYPE_CODE,RATE_TYPE_NAME,RATE,EFFECTIVE_DATE,EXPIRY_DATE"
-)
+STUMPAGE_HEADER = ",".join(STUMPAGE.names)
 # Lower case, another column order, and one column the table does not have.
 FACTOR_HEADER = (
     "factor_id,type,tally_destination_code,destination_code,species_code,reduction_rate,"

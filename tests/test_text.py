@@ -1,5 +1,4 @@
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,12 +11,15 @@ from ratemill.functions.text import (
     trim_fields,
 )
 
-# What the split must equal: a comma that an even number of quotes follows.
-SEPARATOR = re.compile(r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
-
-
 def expected(line: str) -> list[str]:
-    return [f.strip(' "') for f in SEPARATOR.split(line)]
+    """Cut at the commas that an even number of quotes follows, then trim."""
+    fields = [""]
+    for i, char in enumerate(line):
+        if char == "," and line.count('"', i) % 2 == 0:
+            fields.append("")
+        else:
+            fields[-1] += char
+    return [f.strip(' "') for f in fields]
 
 
 def parsed(spark, lines: list[str]) -> dict[str, list[str]]:
