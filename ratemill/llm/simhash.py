@@ -298,6 +298,9 @@ def near_duplicates(docs: DataFrame, id_col: str, text_col: str, shingle: int =
     ids = named.groupBy("root").agg(F.min("first").alias("group_id"))
     of_node = named.join(ids, "root").select(F.col("node").alias("fp"), "group_id")
     class_id = by_fp.join(of_node, "fp", "left").select("fp", F.coalesce("group_id", "first").alias("component_id"))
+    # Written, so that the join below has an exchange on either side, and Spark can split the
+    # rows of a fingerprint that very many documents have.
+    class_id = written(class_id, new_scratch(spark, "classes"))
     out = rows.join(class_id, "fp")
     digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return out.select(F.col("key").alias(id_col), digits.alias("fingerprint"), "component_id")
