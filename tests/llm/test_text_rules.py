@@ -236,3 +236,18 @@ def test_near_classes(spark):
     assert len({c for _, c in want}) not in (1, len(want))
     assert sorted(got, key=str) == sorted(want, key=str)
     assert spotsigs.near_classes(table.limit(0), "doc_id", "text").count() == 0
+
+
+@pytest.mark.parametrize("block", [0, 2])
+def test_lists_are_split_without_loss(spark, block):
+    import random
+
+    r = random.Random(9)
+    passage = "the common passage of the same words is in the text and the others"
+    rows = []
+    for i in range(30):
+        base = f"{passage} for w{i} x{i} with w{i} y{i}"
+        rows += [(3 * i, base), (3 * i + 1, f"{base} as v{i} z{i}"), (3 * i + 2, " ".join(f"the k{r.randrange(6)} k{r.randrange(6)}" for _ in range(r.choice([1, 2, 3, 5, 6]))))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(x) for x in spotsigs.near_classes(table, "doc_id", "text", block=block).collect()]
+    assert sorted(got) == sorted(class_ids(rows))
