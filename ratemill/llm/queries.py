@@ -64,7 +64,7 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.edited_likeness(_documents(spark, sf_dir), "doc_id", "text", part=4)
+    return spotsigs.fingerprints(_documents(spark, sf_dir), "doc_id", "text", part=4)
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

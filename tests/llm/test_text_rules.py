@@ -238,6 +238,14 @@ def test_near_classes(spark):
     assert spotsigs.near_classes(table.limit(0), "doc_id", "text").count() == 0
 
 
+def test_query_has_classes(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = [(r.doc_id, r.class_id) for r in LLM_QUERIES["op8_spotsigs"](spark, SF).collect()]
+    want = class_ids([tuple(r) for r in rows])
+    assert len({c for _, c in want}) < len(want)
+    assert sorted(got) == sorted(want)
+
+
 @pytest.mark.parametrize("block", [0, 2])
 def test_lists_are_split_without_loss(spark, block):
     import random
