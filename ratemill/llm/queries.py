@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratemill.llm import arc, bpe, chat, langid, licenses, packing, quality, simhash, spotsigs, token_counts
+from ratemill.llm import arc, bpe, chat, langid, licenses, mixing, packing, quality, simhash, spotsigs, token_counts
 from ratemill.session import new_scratch
 
 
@@ -75,6 +75,11 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), "doc_id", "text", bpe.default_vocabulary(), end_id=2, capacity=1024)
 
 
+def op11_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size = mixing.word_count(F.col("text"))
+    return mixing.mix(_documents(spark, sf_dir), "doc_id", size, "source", weights=(1, 2, 3), max_copies=3)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -88,6 +93,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_spotsigs,
         op9_quality_rules,
         op10_best_fit_packing,
+        op11_pivotal_mixing,
     )
 }
 LLM_ORACLES: dict[str, str] = {

@@ -1,0 +1,154 @@
+"""Mixing: targets and draws against plain loops, and what must hold of any mix."""
+
+import re
+import struct
+
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from ratemill.llm import mixing
+from ratemill.llm.queries import op11_pivotal_mixing
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain_targets(sizes, weights=(1, 2, 3), most=3):
+    """Shares by weight; sources above their most are set to it until none is above."""
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    full = {}
+    while True:
+        left = sum(sizes.values()) - sum(full.values())
+        open_ = sum(w for s, w in weight.items() if s not in full)
+        share = {s: left * w / open_ for s, w in weight.items() if s not in full}
+        over = {s: most * sizes[s] for s in share if share[s] > most * sizes[s] + 1e-9}
+        if not over:
+            return full | share
+        full |= over
+
+
+def uniform(seed, *ranks):
+    h = xxhash.xxh64_intdigest(struct.pack("<i", seed), seed=42)
+    for r in ranks:
+        h = xxhash.xxh64_intdigest(struct.pack("<q", r), seed=h)
+    return (h >> 11) * 2.0**-53
+
+
+def plain_rounding(items, seed, bucket):
+    """p of (group, size, rank, p) after the meetings, level by level."""
+    out, level = {}, 0
+    left = [(g, r // bucket, s, r, p) for g, s, r, p in items]
+    buckets = -(-len(items) // bucket)
+    while True:
+        rest = []
+        for place in sorted({x[:2] for x in left}):
+            old = None
+            for size, rank, p in sorted((x[2:] for x in left if x[:2] == place), reverse=True):
+                if old is None:
+                    old = (size, rank, p)
+                    continue
+                s, r, q = old
+                up, down = min(s * (1 - q), size * p), min(s * q, size * (1 - p))
+                if uniform(seed + level, r, rank) * (up + down) < down:
+                    q2 = 1.0 if up == s * (1 - q) else q + up / s
+                    p2 = 0.0 if up == size * p else p - up / size
+                else:
+                    q2 = 0.0 if down == s * q else q - down / s
+                    p2 = 1.0 if down == size * (1 - p) else p + down / size
+                old = None
+                for z, k, v in ((s, r, q2), (size, rank, p2)):
+                    if 0 < v < 1:
+                        old = (z, k, v)
+                    else:
+                        out[k] = v
+            if old is not None:
+                rest.append((place[0], place[1] // bucket, *old))
+        left, level = rest, level + 1
+        if buckets <= 1:
+            break
+        buckets = -(-buckets // bucket)
+    for _, _, _, r, p in left:
+        out[r] = 1.0 if uniform(seed + level, r) < p else 0.0
+    return out
+
+
+@pytest.mark.parametrize("sizes", [
+    {"a": 100, "b": 100, "c": 100}, {"a": 1, "b": 1000, "c": 0, "d": 5, None: 7, "": 3}, {"é": 10, "z": 1, "𐐀": 5, "￿": 9}, {"a": 0}, {None: 4},
+    {str(i): i**3 for i in range(12)},
+])
+def test_targets(spark, sizes):
+    rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(rows).collect()}
+    assert got == pytest.approx(plain_targets(sizes))
+
+
+@pytest.mark.parametrize("bucket", [2, 7, 256])
+def test_rounding(spark, bucket):
+    p = [0.4, 0.75, 1 / 3]
+    items = [(r // 50, 1 + (r * 7919) % 90, r, p[r // 50]) for r in range(150)]
+    table = spark.createDataFrame(items, "group long, size long, rank long, p double")
+    table = table.select("group", F.struct("size", "rank", "p").alias("item"))
+    got = {r.item.rank: r.item.p for r in mixing.rounded(table, 150, 5, bucket).collect()}
+    assert got == plain_rounding(items, 5, bucket)
+
+
+def holds(rows, most=3):
+    by = {}
+    for r in rows:
+        assert r.taken % r.size == 0 and 0 <= r.taken <= most * r.size if r.size else r.taken == 0
+        by.setdefault(r.source, []).append(r)
+    for group in by.values():
+        assert sum(r.size for r in group) == group[0].source_size
+        assert abs(sum(r.taken for r in group) - group[0].target) < max(1, *(r.size for r in group))
+
+
+def test_query(spark):
+    rows = op11_pivotal_mixing(spark, SF).collect()
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    holds(rows)
+    want = plain_targets({s: sum(r.size for r in rows if r.source == s) for s in {r.source for r in rows}})
+    assert {r.source: r.target for r in rows} == pytest.approx(want)
+    for r in rows:
+        assert r.size == len([w for w in re.split("[\x20\x09-\x0d]+", docs[r.doc_id].text or "") if w])
+    again = op11_pivotal_mixing(spark, SF).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+
+
+def test_same_draws_from_other_partitions(spark):
+    rows = [(i, "w " * (1 + i * 31 % 40), f"s{i % 3}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    size = mixing.word_count(F.col("text"))
+    one, two = (mixing.mix(d, "doc_id", size, "source", bucket=8).collect() for d in (docs.coalesce(1), docs.repartition(7)))
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+    holds(one)
+
+
+def test_chance_is_kept(spark):
+    """Over many groups the document at a place is taken as often as its chance says."""
+    rows = spark.range(4000).select(F.col("id").alias("rank"), (1 + F.col("id") % 5).alias("size"), F.floor(F.col("id") / 20).alias("group"))
+    items = rows.select("group", F.struct("size", "rank", F.lit(0.3).alias("p")).alias("item"))
+    done = mixing.rounded(items, 4000, 1).select("item.*").groupBy("size").agg(F.avg("p").alias("share")).collect()
+    assert [r.share for r in done] == pytest.approx([0.3] * 5, abs=0.06)
+
+
+def test_odd_rows(spark):
+    rows = [(1, None, "a"), (2, "", "a"), (3, " \t ", None), (None, "x y", None), (None, "x y", None), (4, "w " * 300_000, "hot"), (5, "a b c", ""),
+            *((9, "same row of words", "hot") for _ in range(50))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr("*", "1 AS rank", "2 AS p", "'x' AS size", "3 AS item", "4 AS id", "5 AS target")
+    got = mixing.mix(docs, "doc_id", mixing.word_count(F.col("text")), "source", bucket=4).collect()
+    assert len(got) == len(rows)
+    holds(got)
+    assert sorted(r.size for r in got if r.doc_id != 9) == [0, 0, 0, 2, 2, 3, 300_000]
+
+
+def test_empty_table(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, source string")
+    assert mixing.mix(docs, "doc_id", mixing.word_count(F.col("text")), "source").collect() == []
+
+
+def test_native(spark):
+    plan = op11_pivotal_mixing(spark, SF)._jdf.queryExecution().toString()
+    for word in ("Python", "Pandas", "Arrow", "CartesianProduct", "NestedLoop"):
+        assert word not in plan
