@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratemill.llm import arc, bpe, chat, langid, licenses, mixing, packing, quality, simhash, spotsigs, token_counts
+from ratemill.llm import arc, bpe, chat, langid, licenses, mixing, negatives, packing, quality, simhash, spotsigs, token_counts
 from ratemill.session import new_scratch
 
 
@@ -80,6 +80,14 @@ def op11_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir), "doc_id", size, "source", weights=(1, 2, 3), max_copies=3)
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are the rows with an id divisible by 100; each seventh label is moved on by one."""
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    vec_id = F.col("vec_id")
+    label = F.when(vec_id % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(rows, "vec_id", label, "embedding", vec_id % 100 == 0)
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -94,6 +102,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_best_fit_packing,
         op11_pivotal_mixing,
+        op13_hard_negatives,
     )
 }
 LLM_ORACLES: dict[str, str] = {
