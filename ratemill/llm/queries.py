@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratemill.llm import arc, bpe, chat, langid, licenses, mixing, negatives, packing, quality, simhash, spotsigs, token_counts
+from ratemill.llm import arc, bpe, chat, langid, licenses, mixing, negatives, packing, prefix_trie, quality, simhash, spotsigs, token_counts
 from ratemill.session import new_scratch
 
 
@@ -80,6 +80,13 @@ def op11_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir), "doc_id", size, "source", weights=(1, 2, 3), max_copies=3)
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each with up to three turns of the first of its twenty ids."""
+    table = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    turns, convs = prefix_trie.read_turns(table, "conv_id", "turn", "role", "text")
+    return prefix_trie.trie(*prefix_trie.splice(turns, convs, group=20, heads=4))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Anchors are the rows with an id divisible by 100; each seventh label is moved on by one."""
     rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
@@ -102,6 +109,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_best_fit_packing,
         op11_pivotal_mixing,
+        op12_prefix_trie,
         op13_hard_negatives,
     )
 }
