@@ -344,34 +344,71 @@ def test_a_hidden_name_is_an_error_that_is_logged(spark, store, write):
     assert {r.level for r in log} == {"ERROR"} and store.version().number == 0
 
 
-def test_headers_are_read_from_the_beginning_only(spark, store, write, monkeypatch):
-    path = write("a.csv", "\n \n" + text(STUMPAGE_HEADER, *[stumpage(i, "P") for i in range(3)]))
-
-    def no_scan(*_):
-        raise AssertionError("the text was scanned for a header")
-
-    monkeypatch.setattr(lines, "first_lines", no_scan)
-    assert import_files(spark, [path], store).processed == {"stumpage": 3}
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+@pytest.mark.parametrize("split", [1000, 1 << 27])
+def test_a_header_after_very_many_blank_lines(spark, store, write, end, split):
+    """More blank lines than any beginning of a file would hold, or ending near a split."""
+    paths = [write(f"{n}.csv", end * n + text(STUMPAGE_HEADER, *[stumpage(n * 10 + i, "P") for i in range(3)], end=end)) for n in (0, 997, 40_000)]
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split if split > 1000 else 20_011))
+    try:
+        result = import_files(spark, paths, store)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert result.processed == {"stumpage": 9} and {r.row_count for r in result.files.collect()} == {3}
 
 
-@pytest.mark.parametrize("limit", [30, 1 << 20])
-def test_headers_beyond_the_beginning(spark, write, monkeypatch, limit):
-    monkeypatch.setattr(lines, "HEAD_BYTES", limit)
+def test_headers_of_any_shape(spark, write):
     a = write("a.csv", " \n" * 40 + "x,y\r1,2\r")
     b = write("b.csv", b"\xef\xbb\xbf" + b"x,y\n3,4")
     c = write("c.csv", gzip.compress(b"q\n5\n"))
     os.rename(c, c + ".gz")
-    tables = read_delimited(spark, [a, b, c + ".gz"], new_scratch(spark, "t"))
+    d = write("d.csv", "z\n")
+    tables = read_delimited(spark, [a, b, c + ".gz", d], new_scratch(spark, "t"))
     assert {t.names: sorted(tuple(r) for r in t.df.select(*t.names).collect()) for t in tables} == {
         ("x", "y"): [("1", "2"), ("3", "4")],
         ("q",): [("5",)],
+        ("z",): [],
     }
 
 
-def test_utf16_is_named(spark, store, write):
-    path = write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P")).encode("utf-16"))
-    with pytest.raises(ImportAborted, match="UTF-16"):
-        import_files(spark, [path], store)
+def test_raw_tables_read_only_their_folder(spark, write):
+    paths = [write(f"{i}.csv", f"k{i}\n{i}\n") for i in range(30)]
+    tables = read_delimited(spark, paths, new_scratch(spark, "t"))
+    for t in tables:
+        assert [r[0] for r in t.df.select(*t.names).collect()] == [t.names[0][1:]]
+    plan = tables[7].df._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(_kind" in plan and "Join" not in plan
+
+
+@pytest.mark.parametrize("encoding, mark", [("utf-16-le", b"\xff\xfe"), ("utf-16-be", b"\xfe\xff")])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_utf16_like_its_utf8_twin(spark, tmp_path, write, encoding, mark, end):
+    names = ["Épinette ਅ", "小麦, 米", "😀"]
+    body = end * 3 + text(STUMPAGE_HEADER, *[stumpage(i, "P", names[i % 3]) for i in range(300)], "", stumpage("x", "P"), end=end)
+    found = []
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        for kind, raw in (("utf8", body.encode()), ("utf16", mark + body.encode(encoding))):
+            store = TableStore(spark, str(tmp_path / kind))
+            plain = write(f"{kind}/plain.csv", text(STUMPAGE_HEADER, stumpage(9000, "Q")))
+            result = import_files(spark, [write(f"{kind}/in.csv", raw), plain], store, policy="skip")
+            bad = [(r.line_no, r.column, r.value) for r in result.rejects.collect()]
+            found.append((result.processed, bad, rows(store, STUMPAGE, *STUMPAGE.names, "ID")))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert found[0] == found[1]
+    assert found[0][0] == {"stumpage": 301} and found[0][1] == [(306, "RATE_ID", "x")]
+
+
+def test_utf16_that_cannot_be_split_is_named(spark, store, write):
+    # U+0A15 before U+0100: the bytes of a line feed across two characters.
+    path = write("a.csv", b"\xff\xfe" + text(STUMPAGE_HEADER, stumpage(1, "P", "\u15a0\u0a00")).encode("utf-16-le"))
+    odd = write("b.csv", b"\xff\xfe" + text(STUMPAGE_HEADER, stumpage(2, "P", "\u0a15\u0100")).encode("utf-16-le"))
+    result = import_files(spark, [path, odd], store, policy="skip")
+    assert result.processed == {"stumpage": 1}
+    assert {r.message for r in result.files.where("level = 'ERROR'").collect()} == {lines.UTF16_SPLIT}
 
 
 def test_an_import_that_fails_is_logged_and_leaves_nothing(spark, store, write, monkeypatch):
