@@ -325,6 +325,45 @@ def test_stream_takes_files_of_any_age(spark, store, write, tmp_path):
     assert rows(store, STUMPAGE, "RATE_ID") == {(1,), (2,)}
 
 
+def test_a_bad_file_does_not_stop_its_folder(spark, store, write, tmp_path):
+    landing, checkpoint = str(tmp_path / "in"), str(tmp_path / "checkpoint")
+    bad = write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P"), stumpage("x", "P"), stumpage(2, "P")))
+    unknown = write("b.csv", "a,b\n1,2\n")
+    write("c.csv", text(STUMPAGE_HEADER, stumpage(3, "P")))
+    import_stream(spark, landing, store, checkpoint)
+    assert rows(store, STUMPAGE, "RATE_ID") == {(3,)}  # nothing of a bad file
+    log = {r.file.rsplit("/", 1)[1]: (r.level, r.row_count, r.processed, r.error_count) for r in read_import_log(spark, f"{store.root}/_log").collect()}
+    assert log == {"a.csv": ("ERROR", 3, 0, 1), "b.csv": ("ERROR", 0, 0, 0), "c.csv": ("SUCCESS", 1, 1, 0)}
+    write("d.csv", text(STUMPAGE_HEADER, stumpage(4, "P"), stumpage(1, "P", rate="7")))
+    import_stream(spark, landing, store, checkpoint)
+    assert rows(store, STUMPAGE, "RATE_ID", "RATE") == {(3, 1.5), (4, 1.5), (1, 7.0)}
+    assert {p.rsplit("/", 1)[1] for p in store.version().aside} == {"a.csv", "b.csv"}
+    # Mended, it is taken by the next call, and counts as the latest.
+    write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P"), stumpage(22, "P")))
+    version = store.version().number
+    import_stream(spark, landing, store, checkpoint)
+    assert rows(store, STUMPAGE, "RATE_ID", "RATE") == {(3, 1.5), (4, 1.5), (1, 1.5), (22, 1.5)}
+    assert store.version().number == version + 1 and {p.rsplit("/", 1)[1] for p in store.version().aside} == {"b.csv"}
+    # Unchanged, it is not read again.
+    import_stream(spark, landing, store, checkpoint)
+    assert store.version().number == version + 1
+    os.remove(unknown)
+    import_stream(spark, landing, store, checkpoint)
+    assert bad and store.version().number == version + 1
+
+
+def test_one_outcome_for_each_file(spark, store, write):
+    files = [write(f"{k}.csv", text(STUMPAGE_HEADER, stumpage(1, "P", rate=str(k)), *([stumpage("x", "P")] if k % 2 else []))) for k in range(4)]
+    result = import_files(spark, files, store, policy="files")
+    assert {p.rsplit("/", 1)[1] for p in result.aside} == {"1.csv", "3.csv"} and result.error_count == 2
+    assert rows(store, STUMPAGE, "RATE_ID", "RATE") == {(1, 2.0)} and result.processed == {"stumpage": 2}
+    assert {r.value for r in result.rejects.collect()} == {"x"}
+    # A later import of the file by another policy takes it off the list.
+    import_files(spark, files[1:2], store, policy="skip")
+    assert {p.rsplit("/", 1)[1] for p in store.version().aside} == {"3.csv"}
+    assert rows(store, STUMPAGE, "RATE_ID", "RATE") == {(1, 1.0)}
+
+
 def test_names_that_look_like_patterns(spark, store, write):
     path = write("a[1].csv", text(STUMPAGE_HEADER, stumpage(1, "P")))
     write("a1.csv", text(STUMPAGE_HEADER, stumpage(2, "P")))
