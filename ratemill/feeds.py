@@ -10,6 +10,9 @@ from ratemill.operators.merge import MergeRule
 
 MAX_TEXT = 50
 ID = "ID"
+# Names of a field's metadata: Spark's for the default of new and of missing values, and our own.
+DEFAULT_KEYS = ("CURRENT_DEFAULT", "EXISTS_DEFAULT")
+LENGTH_KEY = "max_length"
 
 # kind -> (Spark type, default as SQL text). `code` is text that must hold an integer and is
 # stored without leading zeros.
@@ -28,6 +31,7 @@ class Column:
     kind: str
     nullable: bool = False
     has_default: bool = True
+    default_sql: str | None = None  # else the default of the kind
 
     @property
     def spark_type(self) -> T.DataType:
@@ -35,7 +39,9 @@ class Column:
 
     @property
     def default(self) -> str:
-        return KINDS[self.kind][1] if self.has_default else "NULL"
+        if not self.has_default:
+            return "NULL"
+        return self.default_sql or KINDS[self.kind][1]
 
     @property
     def is_text(self) -> bool:
@@ -78,9 +84,19 @@ class FeedSpec:
 
     @property
     def schema(self) -> T.StructType:
-        """The table: the feed's columns and the generated ID."""
-        fields = [T.StructField(c.name, c.spark_type, True) for c in self.columns]
-        return T.StructType([*fields, T.StructField(ID, T.LongType(), True)])
+        """The table: the feed's columns and the generated ID, with what a value may be.
+
+        A default is metadata that Spark's readers know: files written before the column was
+        added give it for every row.
+        """
+
+        def table_field(c: Column) -> T.StructField:
+            about = dict.fromkeys(DEFAULT_KEYS, c.default) if c.has_default else {}
+            if c.is_text:
+                about[LENGTH_KEY] = MAX_TEXT
+            return T.StructField(c.name, c.spark_type, c.nullable, about)
+
+        return T.StructType([*map(table_field, self.columns), T.StructField(ID, T.LongType(), False)])
 
 
 def _columns(text: str) -> tuple[Column, ...]:

@@ -17,7 +17,9 @@ SIGN_LAST_TEXT = rf"^{_PAD}{_NUMBER}[+-]{_PAD}$"
 DECIMAL_LIMIT = 79228162514264337593543950335.0
 
 # Shapes of date text. Year 0000 is no year.
-_TIME = r"([01]?\d|2[0-3]):[0-5]\d(:[0-5]\d(\.\d+)?)?"
+_MINUTES = r":[0-5]\d(:[0-5]\d(\.\d+)?)?"
+_HALF_DAY = rf"((0?\d|1[0-2])({_MINUTES})? ?[Aa]|([01]?\d|2[0-3])({_MINUTES})? ?[Pp])[Mm]"
+_TIME = rf"(([01]?\d|2[0-3]){_MINUTES}|{_HALF_DAY})"
 _OFFSET = r"(Z|[+-](0\d|1[0-3]):[0-5]\d|[+-]14:00)"
 DAY_FIRST = r"^\d{3,4}(?!0000)\d{4}$"
 YEAR_FIRST = rf"^(?!0000)\d{{4}}([-/])\d{{1,2}}\1\d{{1,2}}([T ]{_TIME}{_OFFSET}?)?$"
@@ -27,8 +29,8 @@ MONTH_NAME = rf"^\d{{1,2}}-[A-Za-z]{{3}}-(?!0000)\d{{4}}( {_TIME})?$"
 
 def parse_feed_date(col: Column) -> Column:
     """Date of a feed (F1): ddMMyyyy or dMMyyyy; year first with dashes or slashes; month first
-    with slashes; d-MMM-yyyy. A time of day may follow all but the first and is cut off. Anything
-    else, and a day or time that does not exist, is NULL."""
+    with slashes; d-MMM-yyyy. A time of day, also one with AM or PM, may follow all but the first
+    and is cut off. Anything else, and a day or time that does not exist, is NULL."""
     return stripped_date(strip_space(col))
 
 

@@ -85,13 +85,27 @@ def rows_differ(left: list[Column], right: list[Column]) -> Column:
     return ~as_struct(left).eqNullSafe(as_struct(right))
 
 
-def key_states(target: DataFrame, key: list[str], values: Column) -> DataFrame:
-    """Per key ``_low`` and ``_high``, the least and greatest values of its target rows.
+def key_states(target: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """Per key ``_low`` and ``_high``, structs of the least and greatest value of every column in
+    its target rows; a low value is NULL if any is.
 
     All rows of a key equal some values exactly if both bounds do. One row per key, reduced
-    before the shuffle, stands for any number of target rows.
+    before the shuffle, stands for any number of target rows. Column by column, so that columns
+    of numbers and dates are hashed and not sorted.
     """
-    return target.groupBy(*key).agg(F.min(values).alias("_low"), F.max(values).alias("_high"))
+    if not columns:
+        return target.groupBy(*key).agg(F.count("*").alias("_n")).select(*key, _one("_low"), _one("_high"))
+    aggs = [F.count("*").alias("_n")]
+    for i, c in enumerate(columns):
+        aggs += [F.min(c).alias(f"_min_{i}"), F.max(c).alias(f"_max_{i}"), F.count(c).alias(f"_n_{i}")]
+    found = target.groupBy(*key).agg(*aggs)
+    low = [F.when(F.col(f"_n_{i}") == F.col("_n"), F.col(f"_min_{i}")).alias(c) for i, c in enumerate(columns)]
+    high = [F.col(f"_max_{i}").alias(c) for i, c in enumerate(columns)]
+    return found.select(*key, F.struct(*low).alias("_low"), F.struct(*high).alias("_high"))
+
+
+def _one(name: str) -> Column:
+    return F.struct(F.lit(1).alias("one")).alias(name)
 
 
 def _differs_from_state(values: Column) -> Column:
@@ -102,7 +116,7 @@ def changed_rows(batch: DataFrame, target: DataFrame, key: list[str], columns: l
     """Batch rows whose key has a target row with other values."""
     values = F.struct(*columns)
     met = matched_rows(target, batch, key)
-    found = batch.join(key_states(met, key, values), key)
+    found = batch.join(key_states(met, key, columns), key)
     return found.where(_differs_from_state(values)).select(*batch.columns)
 
 
@@ -177,8 +191,8 @@ def collapse_around(
     return single.unionByName(collapse_batch(again, rule, order))
 
 
-def update_matched(target: DataFrame, collapsed: DataFrame, rule: MergeRule) -> DataFrame:
-    """All target rows; those whose key is in ``collapsed`` carry its values.
+def _matched_table(target: DataFrame, collapsed: DataFrame, rule: MergeRule) -> DataFrame:
+    """All target rows after the batch, and ``_hit``, whether the row's key is in ``collapsed``.
 
     Every target row of a key is updated. The right side is unique per key: Spark broadcasts it
     if it measures small, and else can split a skewed target partition.
@@ -194,50 +208,41 @@ def update_matched(target: DataFrame, collapsed: DataFrame, rule: MergeRule) ->
             if c in rule.updated
             else F.col(c)
             for c in target.columns
-        ]
+        ],
+        found.alias("_hit"),
     )
 
 
-def matched_keys(target: DataFrame, collapsed: DataFrame, rule: MergeRule) -> DataFrame:
-    """The keys of ``collapsed`` that the target has: a pass over the target's key columns, in
-    which Spark broadcasts the batch's keys if they measure small."""
-    keys = with_match(target, rule).select(*rule.match)
-    return matched_rows(keys, collapsed, rule.match).distinct()
+def update_matched(target: DataFrame, collapsed: DataFrame, rule: MergeRule) -> DataFrame:
+    """All target rows; those whose key is in ``collapsed`` carry its values."""
+    return _matched_table(target, collapsed, rule).select(*target.columns)
 
 
-def apply_collapsed(
-    target: DataFrame, collapsed: DataFrame, rule: MergeRule, id_col: str | None, start: int = 0
+def upsert(
+    target: DataFrame, batch: DataFrame, rule: MergeRule, order: list[str], id_col: str | None = "ID"
 ) -> DataFrame:
-    """The merged table. New rows get ids after ``start`` in order of first appearance (M8).
+    """The target after the batch (M1-M3). New rows get ids after the greatest one, in order of
+    first appearance (M8).
 
-    ``collapsed`` should be written, so that Spark knows its size.
+    The target is read once, in the join that updates it; the joined rows are written, and the
+    keys that matched and the greatest id are read from their columns. An update on change gives
+    the same table as an update always; the two differ in :func:`merge_actions`. Keys must not be
+    NULL (a NULL key is a constraint violation).
     """
-    kept = update_matched(target, collapsed, rule)
-    new = collapsed.join(matched_keys(target, collapsed, rule), rule.match, "left_anti")
+    spark = batch.sparkSession
+    collapsed = collapse_batch(batch, rule, order).select(*rule.columns, "_first", "_n")
+    collapsed = with_match(written(collapsed, new_scratch(spark, "collapsed")), rule)
+    merged = written(_matched_table(target, collapsed, rule), new_scratch(spark, "merged"))
+    hits = with_match(merged.where("_hit").select(*rule.key), rule)
+    new = collapsed.join(hits.select(*rule.match).distinct(), rule.match, "left_anti")
+    kept = merged.select(*target.columns)
     if id_col is None:
         return kept.unionByName(new.select(*rule.columns))
+    start = merged.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
     new = assign_ids(new.select(*rule.columns, "_first"), ["_first"], start, id_col)
     return kept.unionByName(new.select(*rule.columns, id_col))
 
 
-def last_id(target: DataFrame, id_col: str) -> int:
-    return target.agg(F.coalesce(F.max(id_col), F.lit(0))).first()[0]
-
-
-def upsert(
-    target: DataFrame, batch: DataFrame, rule: MergeRule, order: list[str], id_col: str | None = "ID"
-) -> DataFrame:
-    """The target after the batch (M1-M3).
-
-    An update on change gives the same table as an update always; the two differ in
-    :func:`merge_actions`. Keys must not be NULL (a NULL key is a constraint violation).
-    """
-    start = last_id(target, id_col) if id_col else 0
-    collapsed = collapse_batch(batch, rule, order).select(*rule.columns, "_first", "_n")
-    collapsed = written(collapsed, new_scratch(batch.sparkSession, "collapsed"))
-    return apply_collapsed(target, with_match(collapsed, rule), rule, id_col, start)
-
-
 def hot_keys(
     batch: DataFrame, match: list[str], n_rows: int, hot_rows: int, max_keys: int = HOT_KEYS
 ) -> DataFrame | None:
@@ -275,9 +280,9 @@ def merge_actions(
     columns = batch.columns
     at, match = _order(order), rule.match
     compare = rule.updated if rule.update_when == "changed" else []
-    values = F.struct(*compare) if compare else F.struct(F.lit(1).alias("one"))
+    values = F.struct(*compare) if compare else _one("_values")
     rows = with_match(batch, rule).withColumn("_values", values)
-    state = key_states(matched_rows(with_match(target, rule), rows, match), match, values)
+    state = key_states(matched_rows(with_match(target, rule), rows, match), match, compare)
 
     hot = hot_keys(rows, match, batch.count() if n_rows is None else n_rows, hot_rows)
     group = list(match)

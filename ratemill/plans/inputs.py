@@ -72,6 +72,13 @@ def part_lines(part: DataFrame) -> DataFrame:
     return part.select(file_no("p_partkey").alias("file_no"), F.col("p_partkey").alias("ord"), line.alias("value"))
 
 
+def part_lines_reversed(part: DataFrame) -> DataFrame:
+    """The fields of :func:`part_lines` in the opposite order, all rows whole."""
+    price = quoted(F.format_number(F.col("p_retailprice") * 10, 2))
+    line = csv_line(price, "p_size", "p_type", "p_brand", quoted("p_name"), "p_partkey")
+    return part.select(file_no("p_partkey").alias("file_no"), F.col("p_partkey").alias("ord"), line.alias("value"))
+
+
 def part_dates() -> tuple[Column, Column]:
     start = F.date_add(F.lit("2026-04-01").cast("date"), F.col("p_size"))
     return start, F.date_add(start, 365)
@@ -95,8 +102,10 @@ def stumpage_columns() -> dict[str, Column]:
     }
 
 
-def stumpage_lines(part: DataFrame) -> DataFrame:
-    line = csv_line(*[quoted(c) for c in stumpage_columns().values()])
+def stumpage_lines(part: DataFrame, changed: dict[str, Column] = {}, names: tuple[str, ...] = ()) -> DataFrame:
+    """Lines of the stumpage columns, some of them ``changed`` or added, in the order of ``names``."""
+    columns = stumpage_columns() | changed
+    line = csv_line(*[quoted(columns[n]) for n in names or columns])
     return part.select(file_no("p_partkey").alias("file_no"), F.col("p_partkey").alias("ord"), line.alias("value"))
 
 
@@ -118,6 +127,19 @@ def renewal_columns() -> dict[str, Column]:
     }
 
 
+# Numbers of customers as a factor feed: some are no numbers, some are blank.
+CUSTOMER_HEADER = "FACTOR_ID,TALLY_DESTINATION_CODE,TAX_RATE,CULL_DEDUCTION,EFFECTIVE_DATE,EXPIRY_DATE"
+
+
+def customer_lines(customer: DataFrame) -> DataFrame:
+    key = F.col("c_custkey")
+    number = F.when(key % 5 == 0, F.concat(F.lit("x"), text(key))).otherwise(text(key))
+    rate = F.when(key % 3 == 0, F.lit("n/a")).when(key % 3 == 1, F.lit(" ")).otherwise(text(F.col("c_nationkey")))
+    cull = F.when(key % 7 == 0, F.lit("1e999")).otherwise(F.lit("0"))
+    line = csv_line(number, quoted("c_mktsegment"), rate, cull, F.lit("01042026"), F.lit("2027-03-31"))
+    return customer.select(file_no("c_custkey").alias("file_no"), key.alias("ord"), line.alias("value"))
+
+
 def factor_lines(lineitem: DataFrame) -> DataFrame:
     """``lineitem`` as a factor feed: key (order, flag, status, line); one row per input row."""
     ship = F.col("l_shipdate").cast("date")
@@ -137,9 +159,10 @@ def factor_lines(lineitem: DataFrame) -> DataFrame:
         text(F.col("l_quantity").cast("int")),
     )
     order = F.struct("l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_tax")
-    # A file holds a run of order keys, so rows of one key stay in one file.
+    # A run of order keys is dealt to two files, so that keys come again in another file.
+    run = F.floor(F.col("l_orderkey") * 4 / FILE_LINES).cast("long")
     return lineitem.select(
-        F.floor(F.col("l_orderkey") * 4 / FILE_LINES).cast("long").alias("file_no"),
+        (2 * run + F.col("l_suppkey") % 2).alias("file_no"),
         F.struct("l_orderkey", order.alias("o")).alias("ord"),
         line.alias("value"),
     )
@@ -166,7 +189,7 @@ def spoiled_value() -> Column:
 
 
 def spoiled_date() -> Column:
-    """``o_orderdate`` as date text in sixteen shapes, the last four of them no date."""
+    """``o_orderdate`` as date text in eighteen shapes, the last five of them no date."""
     day = F.col("o_orderdate").cast("date")
     shapes = [
         F.date_format(day, "dMMyyyy"),
@@ -181,6 +204,8 @@ def spoiled_date() -> Column:
         F.date_format(day, "d-MMM-yyyy"),
         F.concat(F.date_format(day, "M/d/yyyy"), F.lit(" 0:00")),
         F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T23:59:59.5+05:30")),
+        F.concat(F.date_format(day, "M/d/yyyy"), F.lit(" 2:30 PM")),
+        F.concat(F.date_format(day, "M/d/yyyy"), F.lit(" 13:30 AM")),
         F.concat(F.lit("3102"), F.date_format(day, "yyyy")),
         F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" 99:99")),
         F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit("T25:00:00")),
@@ -188,7 +213,7 @@ def spoiled_date() -> Column:
     ]
     out = F.lit(None).cast("string")
     for i, shape in enumerate(shapes):
-        out = F.when(F.col("o_orderkey") % 16 == i, shape).otherwise(out)
+        out = F.when(F.col("o_orderkey") % len(shapes) == i, shape).otherwise(out)
     return out
 
 

@@ -113,8 +113,8 @@ ACTIONS = f"""
 ORACLES = {
     "csv_parse": """
         SELECT p_partkey, p_name, p_brand, p_type,
-            CASE WHEN p_partkey % 7 <> 0 THEN p_size END AS p_size,
-            CASE WHEN p_partkey % 7 <> 0
+            CASE WHEN p_partkey % 14 <> 0 THEN p_size END AS p_size,
+            CASE WHEN p_partkey % 14 <> 0
                 THEN CAST(CAST(p_retailprice * 10 AS DECIMAL(18,2)) AS DOUBLE) END AS price
         FROM part""",
     "csv_quote_split": """
@@ -162,7 +162,7 @@ ORACLES = {
         FROM customer JOIN wanted ON true
         UNION ALL SELECT c_custkey, c_mktsegment, 'extra' FROM customer""",
     "feed_dates": """
-        SELECT o_orderkey, CASE WHEN o_orderkey % 16 < 12 THEN CAST(o_orderdate AS DATE) END AS day
+        SELECT o_orderkey, CASE WHEN o_orderkey % 18 < 13 THEN CAST(o_orderdate AS DATE) END AS day
         FROM orders""",
     "safe_convert": f"""
         SELECT event_id, coalesce({RAW}, '') AS as_text, coalesce({AS_INT}, 0) AS as_int,
@@ -237,12 +237,18 @@ ORACLES = {
                     l_extendedprice DESC, l_returnflag DESC) AS r
             FROM lineitem) WHERE r = 1""",
     "upsert_multi_match": """
+        WITH t AS (
+            SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag,
+                row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_extendedprice, l_returnflag) AS id
+            FROM lineitem)
         SELECT l_orderkey, l_linenumber,
             CASE WHEN o_orderkey IS NULL THEN l_extendedprice ELSE o_totalprice END AS l_extendedprice,
-            CASE WHEN o_orderkey IS NULL THEN l_returnflag ELSE o_orderstatus END AS l_returnflag
-        FROM lineitem LEFT JOIN orders ON o_orderkey = l_orderkey AND l_linenumber = 1
+            CASE WHEN o_orderkey IS NULL THEN l_returnflag ELSE o_orderstatus END AS l_returnflag,
+            CAST(id AS BIGINT) AS "ID"
+        FROM t LEFT JOIN orders ON o_orderkey = l_orderkey AND l_linenumber = 1
         UNION ALL
-        SELECT o_orderkey, 1, o_totalprice, o_orderstatus FROM orders
+        SELECT o_orderkey, 1, o_totalprice, o_orderstatus, CAST((SELECT count(*) FROM t)
+            + row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS BIGINT) FROM orders
         WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber = 1)""",
     "assign_ids": """
         SELECT o_orderkey, o_custkey, o_orderpriority,
@@ -293,7 +299,8 @@ ORACLES = {
     "import_two_months": f"""
         WITH a AS (SELECT *, l_shipdate >= TIMESTAMP '{SHIP_CUT}' AS late FROM lineitem),
         o AS (
-            SELECT *, row_number() OVER (ORDER BY late, l_orderkey, {FACTOR_ORDER}) AS n FROM a),
+            SELECT *, row_number() OVER (ORDER BY late, 2 * (l_orderkey * 4 // 50000) + l_suppkey % 2,
+                l_orderkey, {FACTOR_ORDER}) AS n FROM a),
         k AS (
             SELECT *, row_number() OVER (
                     PARTITION BY l_orderkey, l_returnflag, l_linestatus, l_linenumber ORDER BY n DESC) AS r,
@@ -301,15 +308,31 @@ ORACLES = {
             FROM o)
         SELECT {FACTOR_ROWS}, CAST(row_number() OVER (ORDER BY first) AS BIGINT) AS "ID"
         FROM k WHERE r = 1""",
-    "import_headers": """
-        SELECT file_no, 'stumpage' AS feed, c.column_name, c.status
-        FROM (SELECT DISTINCT CAST(p_partkey // 50000 AS BIGINT) AS file_no FROM part),
-            (VALUES ('TYPE', 'matched'), ('RATE_ID', 'matched'), ('PRODUCT_TYPE_CODE', 'matched'),
-                ('PRODUCT_TYPE_NAME', 'matched'), ('SPECIES_GROUP_CODE', 'matched'),
-                ('SPECIES_GROUP_NAME', 'matched'), ('RATE_TYPE_CODE', 'matched'),
-                ('RATE_TYPE_NAME', 'matched'), ('RATE', 'matched'), ('EFFECTIVE_DATE', 'matched'),
-                ('EXPIRY_DATE', 'matched'), ('NOTE', 'extra')) c(column_name, status)""",
+    "import_headers": f"""
+        WITH f AS (SELECT DISTINCT p_partkey % 3 AS shape, p_partkey // 50000 AS file_no FROM part),
+        c AS (SELECT unnest([{STUMPAGE_NAMES}, 'NOTE']) AS column_name)
+        SELECT CAST(shape AS BIGINT) AS shape, CAST(file_no AS BIGINT) AS file_no, 'stumpage' AS feed,
+            column_name, CASE WHEN column_name = 'NOTE' THEN 'extra'
+                WHEN shape = 2 AND column_name = 'RATE' THEN 'missing' ELSE 'matched' END AS status
+        FROM f JOIN c ON column_name <> 'NOTE' OR shape = 0""",
     "import_stream": f"""
-        SELECT {STUMPAGE_ROWS}, CAST(row_number() OVER (ORDER BY p_partkey % 2, p_partkey) AS BIGINT) AS "ID"
+        SELECT {STUMPAGE_ROWS}, CAST(row_number() OVER (ORDER BY p_partkey % 3, p_partkey) AS BIGINT) AS "ID"
+        FROM part""",
+    "lenient_defaults": """
+        WITH l AS (
+            SELECT *, p.c_custkey // 50000 AS file_no,
+                row_number() OVER (PARTITION BY p.c_custkey // 50000 ORDER BY p.c_custkey) + 1 AS line_no
+            FROM customer p),
+        d AS (
+            SELECT file_no, line_no, 'FACTOR_ID' AS column_name, 'x' || CAST(c_custkey AS VARCHAR) AS raw_value
+            FROM l WHERE c_custkey % 5 = 0
+            UNION ALL SELECT file_no, line_no, 'TAX_RATE', 'n/a' FROM l WHERE c_custkey % 3 = 0
+            UNION ALL SELECT file_no, line_no, 'CULL_DEDUCTION', '1e999' FROM l WHERE c_custkey % 7 = 0)
+        SELECT CAST(file_no AS BIGINT) AS file_no, CAST(line_no AS BIGINT) AS line_no, column_name, raw_value
+        FROM d""",
+    "table_defaults": f"""
+        SELECT {STUMPAGE_ROWS}, CASE WHEN p_partkey % 2 = 1 THEN p_brand ELSE 'unknown' END AS "REGION",
+            CAST(CASE WHEN p_partkey % 2 = 1 THEN p_size ELSE 0 END AS INTEGER) AS "LEVEL",
+            CAST(row_number() OVER (ORDER BY p_partkey % 2, p_partkey) AS BIGINT) AS "ID"
         FROM part""",
 }

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import dataclasses
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ratemill.feeds import FACTOR, FEEDS, RENEWAL, STUMPAGE
+from ratemill.feeds import FACTOR, RENEWAL, STUMPAGE, Column
 from ratemill.functions import convert
 from ratemill.functions.text import header_names, is_blank, split_fields, trim_fields
 from ratemill.operators import audit, classify, ids, merge, project, validate
@@ -38,19 +39,29 @@ EVENT_KEY = ["user_id", "event_type"]
 
 
 def csv_parse(spark: SparkSession, sf: str) -> DataFrame:
+    """Parts in files of two headers, which name the same columns in opposite order."""
     scratch = new_scratch(spark, "csv")
-    header = 'p_partkey,"p_name",p_brand,,p_size,P_SIZE'
-    lines = inputs.part_lines(table(spark, sf, "part"))
-    folder = inputs.write_files(lines, header, f"{scratch}/in")
-    (raw,) = read_delimited(spark, [folder], f"{scratch}/stage")
-    return raw.df.select(
-        F.col("p_partkey").try_cast("bigint").alias("p_partkey"),
-        "p_name",
-        "p_brand",
-        F.col("Column_4").alias("p_type"),
-        convert.strict_int(F.col("p_size")).alias("p_size"),
-        convert.strict_decimal(F.col("P_SIZE_5")).alias("price"),
-    )
+    parts = table(spark, sf, "part")
+    even, odd = (parts.where(F.col("p_partkey") % 2 == rest) for rest in (0, 1))
+    header = ['p_partkey,"p_name",p_brand,,p_size,P_SIZE', '\n \t\n"P_SIZE",p_size,,p_brand,p_name,p_partkey']
+    folders = [
+        inputs.write_files(inputs.part_lines(even), header[0], f"{scratch}/in/a"),
+        inputs.write_files(inputs.part_lines_reversed(odd), header[1], f"{scratch}/in/b"),
+    ]
+    raws = {raw.names[0]: raw.df for raw in read_delimited(spark, folders, f"{scratch}/stage")}
+
+    def typed(raw: DataFrame, kind: str, size: str, price: str) -> DataFrame:
+        return raw.select(
+            F.col("p_partkey").try_cast("bigint").alias("p_partkey"),
+            "p_name",
+            "p_brand",
+            F.col(kind).alias("p_type"),
+            convert.strict_int(F.col(size)).alias("p_size"),
+            convert.strict_decimal(F.col(price)).alias("price"),
+        )
+
+    one = typed(raws["p_partkey"], "Column_4", "p_size", "P_SIZE_5")
+    return one.unionByName(typed(raws["P_SIZE"], "Column_3", "p_size_1", "P_SIZE"))
 
 
 def csv_quote_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,9 +344,9 @@ def upsert_multi_match(spark: SparkSession, sf: str) -> DataFrame:
         F.col("o_totalprice").alias("l_extendedprice"),
         F.col("o_orderstatus").alias("l_returnflag"),
     )
-    target = table(spark, sf, "lineitem").select(*columns)
+    target = ids.assign_ids(table(spark, sf, "lineitem").select(*columns), list(columns))
     rule = MergeRule(tuple(LINE_KEY), columns)
-    return merge.upsert(target, batch, rule, ["l_extendedprice"], id_col=None)
+    return merge.upsert(target, batch, rule, ["l_extendedprice", "l_orderkey"])
 
 
 def assign_ids(spark: SparkSession, sf: str) -> DataFrame:
@@ -440,27 +451,81 @@ def import_two_months(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def import_headers(spark: SparkSession, sf: str) -> DataFrame:
-    """The header report of files with one column too many."""
+    """The header report of files with a column too many, of files that name the columns in
+    another order and in lower case after blank lines, and of files that lack a column."""
     scratch = new_scratch(spark, "job")
-    lines = inputs.stumpage_lines(table(spark, sf, "part"))
-    folder = inputs.write_files(lines, f"{inputs.STUMPAGE_HEADER},note", f"{scratch}/in")
-    result = import_files(spark, [folder], TableStore(spark, f"{scratch}/store"))
+    parts = table(spark, sf, "part")
+    names = STUMPAGE.names
+    lacking = tuple(n for n in names if n != "RATE")
+    shapes = [
+        (f"{inputs.STUMPAGE_HEADER},note", names),
+        ("\r\n \t\r\n" + ",".join(reversed(names)).lower(), tuple(reversed(names))),
+        (",".join(lacking), lacking),
+    ]
+    folders = []
+    for i, (header, order) in enumerate(shapes):
+        lines = inputs.stumpage_lines(parts.where(F.col("p_partkey") % 3 == i), names=order)
+        folders.append(inputs.write_files(lines, header, f"{scratch}/in/shape={i}"))
+    result = import_files(spark, folders, TableStore(spark, f"{scratch}/store"), policy="skip")
+    shape = F.regexp_extract("file", r"shape=(\d)", 1).cast("long").alias("shape")
     file_no = F.regexp_extract("file", r"file_no=(\d+)", 1).cast("long").alias("file_no")
-    return result.headers.select(file_no, "feed", F.col("column").alias("column_name"), "status")
+    return result.headers.select(shape, file_no, "feed", F.col("column").alias("column_name"), "status")
 
 
 def import_stream_folder(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts with an even key arrive first, the others with the second call."""
+    """Parts arrive in three groups. A file of the second has a bad row: the first is imported
+    all the same, and the second when it comes again."""
     scratch = new_scratch(spark, "job")
     store = TableStore(spark, f"{scratch}/store")
-    parts = table(spark, sf, "part")
-    for rest in (0, 1):
-        lines = inputs.stumpage_lines(parts.where(F.col("p_partkey") % 2 == rest))
-        inputs.write_files(lines, inputs.STUMPAGE_HEADER, f"{scratch}/landing/arrival{rest}")
+    group = [table(spark, sf, "part").where(F.col("p_partkey") % 3 == rest) for rest in (0, 1, 2)]
+    rate = inputs.stumpage_columns()["RATE"]
+    spoiled = {"RATE": F.when(F.col("p_partkey") % 5 == 1, F.lit("free")).otherwise(rate)}
+
+    def arrive(lines: DataFrame, name: str) -> None:
+        inputs.write_files(lines, inputs.STUMPAGE_HEADER, f"{scratch}/landing/{name}")
+
+    def take() -> None:
         import_stream(spark, f"{scratch}/landing", store, f"{scratch}/checkpoint")
+
+    arrive(inputs.stumpage_lines(group[1], spoiled), "bad")
+    arrive(inputs.stumpage_lines(group[0]), "first")
+    take()
+    arrive(inputs.stumpage_lines(group[1]), "mended")
+    arrive(inputs.stumpage_lines(group[2]), "third")
+    take()
     return store.read(STUMPAGE)
 
 
+def lenient_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Which numbers of a lenient feed were no numbers and became the default."""
+    scratch = new_scratch(spark, "job")
+    lines = inputs.customer_lines(table(spark, sf, "customer"))
+    folder = inputs.write_files(lines, inputs.CUSTOMER_HEADER, f"{scratch}/in")
+    result = import_files(spark, [folder], TableStore(spark, f"{scratch}/store"))
+    file_no = F.regexp_extract("file", r"file_no=(\d+)", 1).cast("long").alias("file_no")
+    return _named(result.defaulted.select(file_no, "line_no", "column", "value"))
+
+
+REGION = Column("REGION", "string", default_sql="'unknown'")
+WIDER = dataclasses.replace(STUMPAGE, columns=(*STUMPAGE.columns, REGION, Column("LEVEL", "int")))
+
+
+def table_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """A table that gets two columns after its first import: rows of the files before have the
+    defaults."""
+    scratch = new_scratch(spark, "job")
+    parts = table(spark, sf, "part")
+    old, new = (parts.where(F.col("p_partkey") % 2 == rest) for rest in (0, 1))
+    store = TableStore(spark, f"{scratch}/store")
+    store.create_tables()
+    import_files(spark, [inputs.write_files(inputs.stumpage_lines(old), inputs.STUMPAGE_HEADER, f"{scratch}/old")], store)
+    lines = inputs.stumpage_lines(new, {"REGION": F.col("p_brand"), "LEVEL": inputs.text("p_size")})
+    folder = inputs.write_files(lines, f"{inputs.STUMPAGE_HEADER},REGION,LEVEL", f"{scratch}/new")
+    wider = TableStore(spark, store.root, (WIDER,))
+    import_files(spark, [folder], wider)
+    return wider.read(WIDER)
+
+
 QUERIES = {
     "csv_parse": csv_parse,
     "csv_quote_split": csv_quote_split,
@@ -504,4 +569,6 @@ QUERIES = {
     "import_two_months": import_two_months,
     "import_headers": import_headers,
     "import_stream": import_stream_folder,
+    "lenient_defaults": lenient_defaults,
+    "table_defaults": table_defaults,
 }

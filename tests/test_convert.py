@@ -31,6 +31,19 @@ DATES = {
     "11-Oct-2026 0:00": dt.date(2026, 10, 11),
     "4/1/2026 0:00": APRIL,
     "04/01/2026 13:30:15": APRIL,
+    "4/1/2026 2:30 PM": APRIL,
+    "4/1/2026 02:30:15 am": APRIL,
+    "4/1/2026 12:00AM": APRIL,
+    "4/1/2026 2 PM": APRIL,
+    "4/1/2026 14:30 PM": APRIL,
+    "2026-04-01 11:59:59 PM": APRIL,
+    "1-Apr-2026 9:05 Pm": APRIL,
+    "4/1/2026 13:30 AM": None,
+    "4/1/2026 24:30 PM": None,
+    "4/1/2026 2:60 PM": None,
+    "4/1/2026 2:30 XM": None,
+    "4/1/2026 PM": None,
+    "01042026 2:30 PM": None,
     "2026-04-01 99:99": None,
     "2026-04-01T25:00:00": None,
     "2026-04-01T10:60": None,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ratemill import FACTOR, RENEWAL, STUMPAGE, ImportAborted, TableStore, import_files
 from ratemill.operators.classify import classify_feed
+from ratemill.plans.queries import WIDER
 from ratemill.session import new_scratch, written
 from ratemill.sources import lines
 from ratemill.sources.import_log import read_import_log
@@ -532,3 +533,41 @@ def test_collated_keys_in_a_store(spark, tmp_path, write):
     import_files(spark, [a], store)
     import_files(spark, [b], store)
     assert rows(store, spec, "PRODUCT_TYPE_CODE", "RATE", "ID") == {("Pine", 3.0, 1)}
+
+
+def test_a_table_refuses_what_breaks_its_constraints(spark, store):
+    good = ("S", 1, "P", "N", "G", "g", "R", "r", 1.0, dt.date(2020, 1, 1), dt.date(2020, 1, 1), 1)
+    names = [f.name for f in STUMPAGE.schema]
+    assert not any(f.nullable for f in STUMPAGE.schema)
+    assert [f.name for f in FACTOR.schema if f.nullable] == ["DESTINATION_SHARE"]
+    nullable = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in STUMPAGE.schema)
+    for column, value, message in (("RATE", None, "RATE must not be NULL"), ("ID", None, "ID must not be NULL"), ("TYPE", "t" * 51, "TYPE has more than 50")):
+        row = dict(zip(names, good)) | {column: value}
+        with pytest.raises(Exception, match=message):
+            store.load(STUMPAGE, spark.createDataFrame([tuple(row.values())], nullable))
+    assert store.version().number == 0
+    store.load(STUMPAGE, spark.createDataFrame([good], nullable))
+    assert rows(store, STUMPAGE, "RATE_ID", "ID") == {(1, 1)}
+
+
+def test_an_added_column_has_its_default_in_old_rows(spark, store, write):
+    import_files(spark, [write("a.csv", text(STUMPAGE_HEADER, stumpage(1, "P"), stumpage(2, "P")))], store)
+    wider = TableStore(spark, store.root, (WIDER,))
+    assert rows(wider, WIDER, "RATE_ID", "REGION", "LEVEL") == {(1, "unknown", 0), (2, "unknown", 0)}
+    # Also where a filter on the column reaches the scan, and after a merge that rewrites a file.
+    assert wider.read(WIDER).where("REGION = 'unknown' AND LEVEL = 0").count() == 2
+    path = write("b.csv", text(f"{STUMPAGE_HEADER},LEVEL,REGION", f"{stumpage(2, 'P')},7,north", f"{stumpage(3, 'P')},8,south"))
+    assert import_files(spark, [path], wider).processed == {"stumpage": 2}
+    assert rows(wider, WIDER, "RATE_ID", "REGION", "LEVEL", "ID") == {(1, "unknown", 0, 1), (2, "north", 7, 2), (3, "south", 8, 3)}
+
+
+def test_defaults_that_replace_a_text_are_reported(spark, store, write):
+    a = factor_file(write, "a.csv", "x,T,D,S,1,1042026,2042026", "", "y,T,D,S,,1042026,2042026", "0,T,D,S,0.0,1042026,2042026")
+    b = factor_file(write, "b.csv", "1,T,D,S, 0 ,1042026,2042026", "2,T,D,S,1d,1042026,2042026", "z,T,D,S,1,99999999,2042026")
+    result = import_files(spark, [a, b], store, policy="skip")
+    found = {(r.file.rsplit("/", 1)[1], r.line_no, r.column, r.value) for r in result.defaulted.collect()}
+    assert found == {("a.csv", 2, "FACTOR_ID", "x"), ("a.csv", 4, "FACTOR_ID", "y"), ("b.csv", 3, "TAX_RATE", "1d")}
+    assert {r.file.rsplit("/", 1)[1]: r.defaulted for r in result.files.collect()} == {"a.csv": 2, "b.csv": 1}
+    assert import_files(spark, [factor_file(write, "c.csv", "1,T,D,S,0,1042026,2042026")], store).defaulted is None
+    aside = import_files(spark, [b], store, policy="files")
+    assert aside.defaulted is None or aside.defaulted.count() == 0

@@ -3,11 +3,16 @@
 import datetime as dt
 import random
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from ratemill.operators import merge
 from ratemill.operators.ids import add_surrogate_key, assign_ids
 from ratemill.operators.merge import MergeRule, changed_rows, count_actions, merge_actions, upsert
+from ratemill.operators.ranges import in_ranges, key_ranges
+from ratemill.session import written
 
 SCHEMA = "k int, g string, a string, b int"
 
@@ -107,12 +112,45 @@ def test_a_small_batch_does_not_shuffle_the_table(spark, tmp_path):
     spark.range(5000).selectExpr("id AS k", "'old' AS a", "id + 1 AS ID").write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
     batch = spark.createDataFrame([(7, "new", 1), (9000, "new", 2)], "k long, a string, n int")
+    collapsed = written(merge.collapse_batch(batch, rule, ["n"]), str(tmp_path / "b"))
+    plan = merge.update_matched(table, collapsed, rule)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("LeftOuter") == 1 and plan.count("FileScan") == 2
     got = upsert(table, batch, rule, ["n"])
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and plan.count("LeftOuter") == 1
+    # The table was read by the one join; matches, ids and the result come from what that wrote.
+    assert str(tmp_path / "t") not in got._jdf.queryExecution().toString()
     assert got.where("a = 'new'").orderBy("k").collect() == [(7, "new", 8), (9000, "new", 5001)]
 
 
+def test_key_ranges(spark):
+    def ranges(values, most=32):
+        return key_ranges(spark.createDataFrame([(v,) for v in values], "k long"), "k", most)
+
+    assert ranges([]) == [] and ranges([None]) == [] and ranges([5, 5]) == [(5, 5)]
+    assert ranges([1, 10**9]) == [(1, 1), (10**9, 10**9)]
+    assert ranges([1, 2, 3, 10**9, 10**9 + 1, None]) == [(1, 3), (10**9, 10**9 + 1)]
+    assert ranges(range(1000)) == [(0, 999)]
+    assert ranges([-(2**62), 0, 2**62]) == [(-(2**62), -(2**62)), (0, 0), (2**62, 2**62)]
+    rng = random.Random(1)
+    values = [rng.randrange(10**6) * rng.choice([1, 1000, 10**6]) for _ in range(500)]
+    found = ranges(values, 8)
+    assert len(found) == 8 and all(a[1] < b[0] for a, b in zip(found, found[1:]))
+    assert all(any(low <= v <= high for low, high in found) for v in values)
+
+
+def test_ranges_skip_row_groups(spark, tmp_path):
+    """Two keys far apart: only their row groups are read."""
+    table = pa.table({"k": pa.array([i * 1000 for i in range(100_000)], pa.int64())})
+    pq.write_table(table, tmp_path / "t.parquet", row_group_size=10_000)
+    keys = spark.createDataFrame([(0,), (99_999_000,)], "k long")
+    found = spark.read.parquet(str(tmp_path / "t.parquet")).where(in_ranges("k", key_ranges(keys, "k")))
+    assert found.count() == 2 and "PushedFilters: [Or(" in found._jdf.queryExecution().toString()
+    found.write.format("noop").mode("overwrite").save()
+    plan = found._jdf.queryExecution().executedPlan()
+    rows = found.collect()
+    scan = plan.collectLeaves().head()
+    assert len(rows) == 2 and scan.metrics().apply("numOutputRows").value() <= 2 * 20_000
+
+
 def test_only_rows_of_the_batchs_keys_are_reduced(spark, tmp_path):
     spark.range(5000).selectExpr("id AS k", "'old' AS a").write.parquet(str(tmp_path / "t"))
     table = spark.read.parquet(str(tmp_path / "t"))
