@@ -69,6 +69,12 @@ def with_hint(df: DataFrame, rows: int) -> DataFrame:
     return df.hint("broadcast") if rows <= BROADCAST_ROWS else df
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make a folder where there is none."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def drop_scratch(spark: SparkSession, path: str) -> None:
     """Remove a folder that this run made below the scratch root and no longer reads."""
     if "/ratemill/" not in path:
