@@ -7,6 +7,10 @@ document that runs over a block border its start.
 
 Tokens after the last separator are a document of their own (``ended`` is false). An empty
 document has no tokens. An empty file gives no rows. An odd byte at the end of a file is an error.
+
+Null text is empty. A null id stays null; repeated rows are counted one by one; extra columns are
+left out, whatever their names. A text of any length is one run of tokens. An empty table gives no
+files with tokens and no rows.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratemill.llm.bpe import load
+from ratemill.session import make_folder
 
 # Fixed values of the format.
 TOKEN = np.dtype("<u2")
@@ -64,6 +69,9 @@ def write_token_files(docs: DataFrame, id_col: str, text_col: str, vocabulary: s
         out.write.partitionBy("kind").option("lineSep", SEPARATOR_TEXT).text(path)
     finally:
         spark.conf.set(setting, before)
+    # Without a document nothing was written below them.
+    for kind in ("tokens", "ids"):
+        make_folder(spark, f"{path}/kind={kind}")
 
 
 def _blocks(files: DataFrame, block_tokens: int) -> DataFrame:

@@ -192,3 +192,15 @@ def test_packing(spark, library, docs, capacity):
     assert {k: r.length for k, r in joined.items()} == {k: sum(n for _, n in own) for k, own in bins.items()}
     assert all(len(r.ids) == 4 * r.length for r in joined.values())
     assert packing.pack(docs.limit(0), "doc_id", "text", VOCABULARY).count() == 0
+
+
+def test_no_documents_no_counts(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    token_counts.write_token_files(docs, "doc_id", "text", VOCABULARY, str(tmp_path / "t"))
+    assert token_counts.token_counts(spark, str(tmp_path / "t")).collect() == []
+    rows = [(None, None), (None, "a b"), (1, "a b"), (1, "a b")]
+    more = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS key", "2 AS n", "'x' AS file")
+    token_counts.write_token_files(more, "doc_id", "text", VOCABULARY, str(tmp_path / "u"))
+    found = token_counts.token_counts(spark, str(tmp_path / "u")).collect()
+    assert sorted((r.key, r.n_tokens > 0) for r in found if r.key is not None) == [(1, True), (1, True)]
+    assert sorted(r.n_tokens > 0 for r in found if r.key is None) == [False, True]
