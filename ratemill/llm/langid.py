@@ -2,14 +2,18 @@
 
 A word that the training texts hold is scored by its log frequency in each language. An unseen
 word is scored by its n-grams of the longest size of which any is known, then by shorter ones
-at a fixed discount. The scores of a text are added up; the language with the largest sum is the prediction.
-
-The model is a bounded table: a sample of labelled documents, the most frequent words of each
-language, the n-grams of these words. It is learned from text and label alone.
-
-Null text and text without a letter is ``und`` with score 0. Documents without label are not
-learned from. Of equal sums the first language in the alphabet wins. If nothing could be learned
-every text is ``und``.
+at a fixed discount. The scores of a text are added up; the language with the largest sum is the
+prediction. Its score is the share of the text's words that this language explains best, which
+does not grow with the length: it is low for a text in two languages and for garbled text.
+
+The model is a table of all words of a bounded sample of labelled documents, and the n-grams of
+these words. It is learned from text and label alone.
+
+Null or empty text and text without a letter is ``und`` with score 0. Documents without label are
+not learned from. Of equal sums the first language in the alphabet wins. If nothing could be
+learned every text is ``und``. Texts of any length are taken whole, in pieces that end between
+words; repeated rows get the same result, and an empty table gives no rows. Other columns pass
+through; the two that are added must have names of their own.
 """
 
 from __future__ import annotations
@@ -26,13 +30,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ratemill.session import new_scratch, written
 
 UNDETERMINED = "und"
 LETTERS = re.compile(r"[^\W\d_]+")
-# Bounds of the model.
-SAMPLE_DOCS = 4_000
-MODEL_WORDS = 20_000
+# Bounds of the sample: documents of a language, and characters of one of them.
+SAMPLE_DOCS = 1_000
+SAMPLE_CHARS = 100_000
 ORDERS = (4, 3, 2, 1)
 HELD_OUT = 2
 DISCOUNT = math.log(0.4)
@@ -41,30 +44,42 @@ MET_WORDS = 1 << 16
 ROWS_AT_A_TIME = 1_000
 
 
+@dataclass
+class Scores:
+    """Log scores by name, one row for each and one column for each language."""
+
+    at: dict[str, int]
+    rows: np.ndarray
+
+    @classmethod
+    def of(cls, rows: dict[str, list[float] | np.ndarray], languages: int) -> Scores:
+        return cls(dict(zip(rows, range(len(rows)))), np.array(list(rows.values()), float).reshape(-1, languages))
+
+    def __contains__(self, name: str) -> bool:
+        return name in self.at
+
+
 @dataclass
 class Model:
     languages: list[str]
-    words: dict[str, np.ndarray]
-    grams: list[dict[str, np.ndarray]]
+    words: Scores
+    grams: list[Scores]
     floor: float
 
     def _start(self) -> None:
         """One matrix with the scores of the known words, and room for words met later."""
-        n = len(self.words)
+        n = len(self.words.at)
         self.rows = np.empty((n + MET_WORDS, len(self.languages)))
-        if n:
-            self.rows[:n] = list(self.words.values())
-        self.known = dict(zip(self.words, range(n)))
+        self.rows[:n] = self.words.rows
         self.met: dict[str, int] = {}
-        self.gram_rows = [dict(zip(table, range(len(table)))) for table in self.grams]
-        self.gram_scores = [np.array(list(table.values())).reshape(-1, len(self.languages)) for table in self.grams]
 
     def _back_off(self, words: list[str]) -> np.ndarray:
         """Scores of words that are not known: the mean over a word's n-grams of the first size
         of which any is known, less the discount for each size."""
         out = np.full((len(words), len(self.languages)), self.floor)
         left = list(range(len(words)))
-        for step, (size, rows, scores) in enumerate(zip(ORDERS, self.gram_rows, self.gram_scores), 1):
+        for step, (size, grams) in enumerate(zip(ORDERS, self.grams), 1):
+            rows, scores = grams.at, grams.rows
             flat, counts, hit, rest = [], [], [], []
             for i in left:
                 marked = f"<{words[i]}>"
@@ -90,7 +105,7 @@ class Model:
             some = words[at : at + MET_WORDS]
             if len(self.met) + len(some) > MET_WORDS:
                 self.met.clear()
-            known, met = self.known, self.met
+            known, met = self.words.at, self.met
             new = [w for w in some if w not in known and w not in met]
             if new:
                 first = len(known) + len(met)
@@ -105,9 +120,11 @@ class Model:
             counts.update(LETTERS.findall(part.lower()))
         if not self.languages or not any(c.isalpha() for w in counts for c in w):
             return UNDETERMINED, 0.0
-        total = np.fromiter(counts.values(), float, len(counts)) @ self.score(list(counts))
-        best = int(total.argmax())
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+        times = np.fromiter(counts.values(), float, len(counts))
+        scores = self.score(list(counts))
+        best = int((times @ scores).argmax())
+        explained = scores[:, best] >= scores.max(axis=1)
+        return self.languages[best], float(times @ explained / times.sum())
 
 
 def _parts(text: str) -> Iterator[str]:
@@ -121,55 +138,52 @@ def _parts(text: str) -> Iterator[str]:
         at = stop
 
 
-def _log_share(counts: dict[str, list[int]], totals: list[int]) -> dict[str, np.ndarray]:
-    """Log frequency per language, one added to each count."""
-    size = len(counts) or 1
-    base = np.log(np.array(totals, float) + size)
-    return {key: np.log(np.array(row, float) + 1.0) - base for key, row in counts.items()}
+def _log_share(counts: np.ndarray) -> np.ndarray:
+    """Log frequency per language (column), one added to each count."""
+    return np.log(counts + 1.0) - np.log(counts.sum(axis=0) + max(1, len(counts)))
 
 
-def train(docs: DataFrame, text_col: str, label_col: str, key: Column, sample_docs: int = SAMPLE_DOCS, model_words: int = MODEL_WORDS) -> Model:
-    """Learn from about ``sample_docs`` documents of each language, drawn by the hash of ``key``.
+def train(
+    docs: DataFrame, text_col: str, label_col: str, key: Column, sample_docs: int = SAMPLE_DOCS, sample_chars: int = SAMPLE_CHARS
+) -> Model:
+    """Learn from about ``sample_docs`` documents of each language, drawn by the hash of ``key``
+    from those of at most ``sample_chars`` characters.
 
-    The driver gets at most ``model_words`` words of each language with their counts.
+    The driver gets the words of the sample with their counts.
     """
-    labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
+    fits = F.char_length(text_col) <= sample_chars
+    labelled = docs.where(F.col(label_col).isNotNull() & F.col(text_col).isNotNull() & fits)
     sizes = {r[0]: r[1] for r in labelled.groupBy(label_col).count().collect()}
     languages = sorted(sizes)
+    n = len(languages)
     if not languages:
-        return Model([], {}, [], 0.0)
+        return Model([], Scores({}, np.zeros((0, 0))), [], 0.0)
     scale = 1 << 30
     share = F.create_map(*(F.lit(x) for name in languages for x in (name, min(scale, scale * sample_docs // sizes[name]))))
     drawn = labelled.where(F.pmod(F.xxhash64(key), F.lit(scale)) < share[F.col(label_col)])
     words = drawn.select(F.col(label_col).alias("label"), F.explode(F.regexp_extract_all(F.lower(text_col), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
-    counts = written(words.groupBy("label", "word").agg(F.count("*").alias("n")), new_scratch(docs.sparkSession, "words"))
-    place = {name: i for i, name in enumerate(languages)}
-    table: dict[str, list[int]] = {}
-    totals = [0] * len(languages)
-    for name in languages:
-        top = counts.where(F.col("label") == name).orderBy(F.desc("n"), "word").limit(model_words)
-        for row in top.collect():
-            table.setdefault(row.word, [0] * len(languages))[place[name]] = row.n
-            totals[place[name]] += row.n
+    found = words.groupBy("word").agg(*(F.count_if(F.col("label") == name).alias(f"n{i}") for i, name in enumerate(languages))).toArrow()
+    names = found.column("word").to_pylist()
+    counts = np.stack([found.column(f"n{i}").to_numpy() for i in range(n)], axis=1).astype(float)
     grams = []
     for size in ORDERS:
-        found: dict[str, list[int]] = {}
-        sums = [0] * len(languages)
-        for word, row in table.items():
+        at: dict[str, int] = {}
+        flat: list[int] = []
+        of: list[int] = []
+        for k, word in enumerate(names):
             marked = f"<{word}>"
-            for i in range(len(marked) - size + 1):
-                into = found.setdefault(marked[i : i + size], [0] * len(languages))
-                for k, n in enumerate(row):
-                    into[k] += n
-                    sums[k] += n
-        grams.append(_log_share(found, sums))
-    floor = min((float(v.min()) for v in grams[-1].values()), default=0.0) + (len(ORDERS) + 1) * DISCOUNT
-    return Model(languages, _log_share(table, totals), grams, floor)
+            own = [at.setdefault(marked[i : i + size], len(at)) for i in range(len(marked) - size + 1)]
+            flat += own
+            of += [k] * len(own)
+        sums = np.stack([np.bincount(flat, counts[of, i], len(at)) for i in range(n)], axis=1) if at else np.zeros((0, n))
+        grams.append(Scores(at, _log_share(sums)))
+    floor = float(grams[-1].rows.min(initial=0.0)) + (len(ORDERS) + 1) * DISCOUNT
+    return Model(languages, Scores(dict(zip(names, range(len(names)))), _log_share(counts)), grams, floor)
 
 
 def predict(docs: DataFrame, text_col: str, model: Model, language: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and the share of the best language, under names that
-    ``docs`` must not have."""
+    """``docs`` with the predicted language and its score, under names that ``docs`` must not
+    have."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

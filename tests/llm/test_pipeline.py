@@ -29,7 +29,7 @@ def test_languages(outputs):
     want = []
     for r in before.collect():
         name, score = model.predict(r.text)
-        if name != "und" and score >= 0.5:
+        if name != "und" and score >= corpus_pipeline.MIN_LANGUAGE_SCORE:
             want.append(tuple(r))
     assert sorted(map(tuple, after.collect())) == sorted(want)
 
