@@ -5,8 +5,11 @@ over the documents of its host; equal texts count as one document, so that copie
 do not condemn it. A line of more documents than the limit allows is removed wherever it stands
 in that host, and a document that is left with too little is rejected.
 
-Everything is DataFrame expressions. Null text has no words and fails. A null host is a host of
-its own, the same as the empty one. Rows with equal id, host and text get the same verdict.
+Everything is DataFrame expressions. Null or empty text has no words and fails. A null host is a
+host of its own, the same as the empty one. Rows with equal id, host and text get the same
+verdict. Texts of any length are taken whole, as arrays of their words and lines in one row. A
+line with exactly as many documents as the limit stays. An empty table gives no rows. Extra
+columns, whatever their names, pass through ``clean`` and are left out of the verdicts.
 """
 
 from __future__ import annotations
@@ -28,10 +31,8 @@ SYMBOLS = r"[#*$%&|<>]"
 class Limits:
     min_words: int = 50
     max_repeat_percent: int = 50
-    # A line is removed if more than so many documents of its host hold it, and more than this
-    # share of the host's documents.
-    min_line_docs: int = 20
-    max_line_share: float = 0.1
+    # A line is removed if more than so many documents of its host hold it.
+    max_line_docs: int = 20
     # What must be left of a document.
     min_words_left: int = 50
     min_share_left: float = 0.3
@@ -101,11 +102,9 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, host_col: str) -> Da
 def frequent_lines(table: DataFrame, limits: Limits) -> DataFrame:
     """(_host, h): the lines over the limit."""
     texts = table.groupBy("_host", "_key").agg(F.first("_lines").alias("_lines"))
-    hosts = table.groupBy("_host").agg(F.countDistinct("_key").alias("host_docs"))
     lines = texts.select("_host", "_key", F.explode(F.array_distinct(F.transform("_lines", lambda x: x["h"]))).alias("h"))
-    found = lines.groupBy("_host", "h").agg(F.count("*").alias("docs")).where(F.col("docs") > limits.min_line_docs)
-    over = found.join(hosts, "_host").where(F.col("docs") > F.col("host_docs") * limits.max_line_share)
-    return over.select("_host", "h")
+    found = lines.groupBy("_host", "h").agg(F.count("*").alias("docs"))
+    return found.where(F.col("docs") > limits.max_line_docs).select("_host", "h")
 
 
 def verdicts(docs: DataFrame, id_col: str, text_col: str, host_col: str, limits: Limits = Limits()) -> DataFrame:
@@ -172,11 +171,9 @@ line AS (
   SELECT doc_id, host, text, trim(regexp_replace(lower(l), '{WHITE}', ' ', 'g')) AS k,
     len(list_filter(string_split_regex(l, '{WHITE}'), lambda x: x <> '')) AS n
   FROM (SELECT doc_id, host, text, unnest(ls) AS l FROM t)),
-hosts AS (SELECT host, count(DISTINCT text) AS host_docs FROM d GROUP BY host),
 over AS (
   SELECT host, k FROM (SELECT host, k, count(DISTINCT text) AS docs FROM line GROUP BY ALL)
-  JOIN hosts USING (host)
-  WHERE docs > {Limits.min_line_docs} AND docs > host_docs * {Limits.max_line_share}),
+  WHERE docs > {Limits.max_line_docs}),
 gone AS (SELECT doc_id, sum(n)::BIGINT AS n FROM line JOIN over USING (host, k) GROUP BY doc_id),
 c AS (
   SELECT t.doc_id, len(w)::BIGINT AS n_words,
