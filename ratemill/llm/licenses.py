@@ -1,16 +1,21 @@
 """License scan by an exact set-similarity join (operator 3).
 
-A block of words holds a license notice if it contains at least ``threshold`` of the notice's
-distinct words. Words of the notices are ordered by their frequency over the corpus, rarest
-first. A block that reaches the threshold shares a word of the notice's prefix, stands there not
-further than its own prefix allows, is long enough, and has enough words after the place of the
+The tokens of a notice are its pairs of neighbouring words, so that the same words in another
+order are another text. A block of words holds a notice if it contains at least ``threshold`` of
+the notice's distinct tokens. Tokens are ordered by their frequency over the corpus, rarest
+first. A block that reaches the threshold shares a token of the notice's prefix, stands there not
+further than its own prefix allows, is long enough, and has enough tokens after the place of the
 match; only pairs that pass these filters are counted out. Blocks are runs of words, each half
-covered by the next, so that every passage of half a block's length lies whole in one.
+covered by the next, so that every passage of half a block's length lies whole in one. Of notices
+that are variants of one text, those with the largest share in a block hold there; a tie gives
+all of them.
 
 Beside this, places where a phrase's words stand one after another are found word by word.
 
-Everything is DataFrame expressions. Null text is empty. Rows with equal id and text get the
-same result. The notices and what is made of them are a parameter of bounded size.
+Everything is DataFrame expressions. Null text is empty and has no label. Texts of any length are
+taken whole. Rows with equal id and text get the same result. An empty table gives no rows. Extra
+columns are left out, whatever their names. The notices and what is made of them are a parameter
+of bounded size.
 """
 
 from __future__ import annotations
@@ -46,14 +51,31 @@ NOTICES = (
 THRESHOLD = 0.8
 
 
-def template_words(notice: str) -> list[str]:
-    """The distinct words of a notice."""
-    return list(dict.fromkeys(w for w in re.split(BETWEEN, notice.lower()) if w))
+def _plain_words(text: str) -> list[str]:
+    return [w for w in re.split(BETWEEN, text.lower()) if w]
+
+
+def template_pairs(notice: str) -> list[str]:
+    """The distinct pairs of neighbouring words of a notice."""
+    w = _plain_words(notice)
+    return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:])))
+
+
+def families(notices: tuple[tuple[str, str], ...]) -> list[int]:
+    """For each notice the number of the first one it is a variant of: of which it has half the
+    pairs, or which has half of its own."""
+    out: list[int] = []
+    for n, (_, text) in enumerate(notices):
+        own = set(template_pairs(text))
+        same = (k for k in range(n) if 2 * len(own & (other := set(template_pairs(notices[k][1])))) >= min(len(own), len(other)))
+        first = next(same, None)
+        out.append(n if first is None else out[first])
+    return out
 
 
 def block_words(notices: tuple[tuple[str, str], ...]) -> int:
     """Half a block: twice the words of the longest notice."""
-    return 2 * max(len([w for w in re.split(BETWEEN, text.lower()) if w]) for _, text in notices)
+    return 2 * max(len(_plain_words(text)) for _, text in notices)
 
 
 def words(text: Column) -> Column:
@@ -91,9 +113,20 @@ def _word_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows
 
 
-def word_order(rows: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """Place of each notice word by the number of documents that hold it, rarest first."""
-    held = rows.select(F.explode(F.array_intersect("_w", F.array(*map(F.lit, vocabulary)))).alias("w"))
+def _pairs(w: Column, vocabulary: list[str]) -> Column:
+    """The pairs of ``vocabulary`` in the words ``w``, as structs of place and pair."""
+    first, second = (sorted({v.split(" ")[k] for v in vocabulary}) for k in (0, 1))
+    at = F.filter(
+        F.sequence(F.lit(0), F.greatest(F.size(w) - 2, F.lit(0))),
+        lambda i: F.get(w, i).isin(first) & F.coalesce(F.get(w, i + 1).isin(second), F.lit(False)),
+    )
+    both = F.transform(at, lambda i: F.struct(i.alias("i"), F.concat(F.get(w, i), F.lit(" "), F.get(w, i + 1)).alias("p")))
+    return F.filter(both, lambda x: x["p"].isin(vocabulary))
+
+
+def pair_order(rows: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+    """Place of each notice pair by the number of documents that hold it, rarest first."""
+    held = rows.select(F.explode(F.array_distinct(F.transform("_pairs", lambda x: x["p"]))).alias("w"))
     docs = {r.w: r.n for r in held.groupBy("w").agg(F.count("*").alias("n")).collect()}
     return {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (docs.get(w, 0), w)))}
 
@@ -109,15 +142,15 @@ def scan(
     found in a block if it reaches the threshold, 1 where a phrase stands."""
     spark = docs.sparkSession
     id_type = docs.schema[id_col].dataType.simpleString()
-    rows = _word_table(docs, id_col, text_col)
-    vocabulary = sorted({w for _, text in notices for w in template_words(text)})
-    order = word_order(rows, vocabulary)
+    vocabulary = sorted({w for _, text in notices for w in template_pairs(text)})
+    rows = _word_table(docs, id_col, text_col).withColumn("_pairs", _pairs(F.col("_w"), vocabulary))
+    order = pair_order(rows, vocabulary)
 
     templates = []
-    for number, (label, text) in enumerate(notices):
-        ranks = sorted(order[w] for w in template_words(text))
-        templates.append((number, label, ranks, math.ceil(threshold * len(ranks) - 1e-9)))
-    prefixes = sorted({r for _, _, ranks, need in templates for r in ranks[: len(ranks) - need + 1]})
+    for number, ((label, text), family) in enumerate(zip(notices, families(notices))):
+        ranks = sorted(order[w] for w in template_pairs(text))
+        templates.append((number, label, family, ranks, math.ceil(threshold * len(ranks) - 1e-9)))
+    prefixes = sorted({r for *_, ranks, need in templates for r in ranks[: len(ranks) - need + 1]})
     by_rank = {r: w for w, r in order.items()}
     least = min(need for *_, need in templates)
 
@@ -129,13 +162,14 @@ def scan(
     rank_of = F.create_map(*(F.lit(x) for w in vocabulary for x in (w, order[w])))
 
     def block(i: Column) -> Column:
-        own = F.array_intersect(F.slice("_w", i + 1, 2 * half), F.array(*map(F.lit, vocabulary)))
-        return F.sort_array(F.transform(own, lambda w: F.element_at(rank_of, w)))
+        inside = F.filter("_pairs", lambda x: (x["i"] >= i) & (x["i"] < i + 2 * half - 1))
+        return F.array_sort(F.array_distinct(F.transform(inside, lambda x: F.element_at(rank_of, x["p"]))))
 
     starts = F.sequence(F.lit(0), F.greatest(F.size("_w") - 1, F.lit(0)), F.lit(half))
     blocks = F.filter(F.transform(starts, block), lambda b: F.size(b) >= least)
-    # No word of any prefix: no block of this document can reach the threshold.
-    candidate = F.arrays_overlap("_w", F.array(*(F.lit(by_rank[r]) for r in prefixes)))
+    # Too few pairs, or none of any prefix: no block of this document can reach the threshold.
+    in_prefix = F.exists("_pairs", lambda x: x["p"].isin([by_rank[r] for r in prefixes]))
+    candidate = (F.size("_pairs") >= least) & in_prefix
     found = rows.select(
         "_id",
         "_key",
@@ -147,8 +181,8 @@ def scan(
     found = written(found, new_scratch(spark, "licenses"))
 
     index = spark.createDataFrame(
-        [(number, label, ranks, need, i, r) for number, label, ranks, need in templates for i, r in enumerate(ranks[: len(ranks) - need + 1])],
-        "template int, label string, ranks array<int>, need int, i int, rank int",
+        [(*t, i, r) for t in templates for *_, ranks, need in [t] for i, r in enumerate(ranks[: len(ranks) - need + 1])],
+        "template int, label string, family int, ranks array<int>, need int, i int, rank int",
     )
     held = found.select("_id", "_key", F.posexplode("blocks").alias("block", "own"))
     tokens = held.select("*", F.posexplode("own").alias("j", "rank"))
@@ -158,9 +192,14 @@ def scan(
         & (F.least(F.size("ranks") - F.col("i"), F.size("own") - F.col("j")) >= F.col("need"))
     )
     share = F.size(F.array_intersect("own", "ranks"))
-    hits = pairs.withColumn("common", share).where("common >= need")
-    by_doc = hits.groupBy("_id", "_key").agg(
-        F.collect_set("label").alias("by_method"), F.max(F.col("common") / F.size("ranks")).alias("share")
+    hits = pairs.withColumn("common", share).where("common >= need").withColumn("share", F.col("common") / F.size("ranks"))
+    # Of the variants of one text the nearest hold. A block has few notices.
+    by_block = hits.groupBy("_id", "_key", "block", "family").agg(
+        F.max("share").alias("share"), F.collect_set(F.struct("share", "label")).alias("found")
+    )
+    nearest = F.transform(F.filter("found", lambda x: x["share"] == F.col("share")), lambda x: x["label"])
+    by_doc = by_block.withColumn("labels", nearest).groupBy("_id", "_key").agg(
+        F.array_distinct(F.flatten(F.collect_set("labels"))).alias("by_method"), F.max("share").alias("share")
     )
 
     out = found.drop("blocks").join(by_doc, ["_id", "_key"], "left")
@@ -185,10 +224,11 @@ def oracle() -> str:
     def quoted(items: list[str]) -> str:
         return "[" + ", ".join(f"'{x}'" for x in items) + "]"
 
-    notices = ", ".join(f"('{label}', {quoted(template_words(text))})" for label, text in NOTICES)
+    numbered = zip(NOTICES, families(NOTICES))
+    notices = ", ".join(f"('{label}', {family}, {quoted(template_pairs(text))})" for (label, text), family in numbered)
     phrases = ", ".join(f"({quoted(p.split(' '))}, '{label}')" for p, label in PHRASES.items())
     return f"""
-WITH n(label, ws) AS (VALUES {notices}), p(ws, label) AS (VALUES {phrases}),
+WITH n(label, family, ws) AS (VALUES {notices}), p(ws, label) AS (VALUES {phrases}),
 d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '{BETWEEN}'), lambda x: x <> '') AS w FROM documents),
 places AS (
   SELECT doc_id, i - 1 AS pos, label
@@ -197,12 +237,15 @@ places AS (
 base AS (
   SELECT doc_id, count(*) AS n, min(pos) AS a, max(pos) AS b, list_sort(list_distinct(list(label))) AS labels
   FROM places GROUP BY doc_id),
+pairs AS (
+  SELECT doc_id, w, list_transform(range(1, greatest(len(w), 1)), lambda k: w[k] || ' ' || w[k + 1]) AS ps FROM d),
 blocks AS (
-  SELECT doc_id, list_distinct(w[i + 1:i + {2 * half}]) AS b
-  FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w), 1), {half})) AS i FROM d)),
-hits AS (
-  SELECT doc_id, label, len(list_intersect(b, ws)) / len(ws)::DOUBLE AS share
+  SELECT doc_id, i, list_distinct(ps[i + 1:i + {2 * half - 1}]) AS b
+  FROM (SELECT doc_id, ps, unnest(range(0, greatest(len(w), 1), {half})) AS i FROM pairs)),
+found AS (
+  SELECT doc_id, i, label, family, len(list_intersect(b, ws)) / len(ws)::DOUBLE AS share
   FROM blocks, n WHERE len(list_intersect(b, ws)) >= ceil({THRESHOLD} * len(ws) - 1e-9)),
+hits AS (SELECT * FROM found QUALIFY share = max(share) OVER (PARTITION BY doc_id, i, family)),
 method AS (SELECT doc_id, list_distinct(list(label)) AS labels, max(share) AS share FROM hits GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, a::BIGINT AS first_word, b::BIGINT AS last_word,
   coalesce(array_to_string(base.labels, ','), '') AS base_labels,
