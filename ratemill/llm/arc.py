@@ -13,7 +13,9 @@ format asks for, so they appear only when their task is committed, on any file s
 Null html is an empty payload. A null page id is never chosen as the response while the group has
 another; rows that share the smallest page id are all responses. White space and control
 characters in a url are percent-encoded, since header lines are split at blanks; a null url is
-``about:blank``. An empty table gives no records.
+``about:blank``. Repeated rows are records of their own. An empty table gives no records. Extra
+columns are left out, whatever their names. An archive is read as one row of one task, so it may
+have 2 GB at most; a payload of any length below that is taken whole.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ build the two tokens; this is tested for all pairs at once. Only words with an i
 go through the merges one by one. The tokens of a block are decoded again and compared with its
 bytes, so that two words of equal hash cannot pass for one another.
 
-Null text is empty and has no tokens. Texts of any length are cut, for memory only, at single
+Null text is empty and has no tokens. Repeated rows are encoded one by one; an empty table gives
+no rows; extra columns are left out, whatever their names. Texts of any length are cut, for memory only, at single
 spaces or line ends between other characters, where a word always ends.
 """
 

@@ -10,8 +10,9 @@ texts and tails give the offsets of all segments, and an index array copies them
 The loss mask is a list of spans of the piece, in characters.
 
 Null text and null role are empty. Rows are ordered by turn, then role, then text, nulls first;
-repeated rows stay. Rows with a null conversation id are one conversation. Extra columns are
-left out. An empty table gives no rows.
+repeated rows stay. Rows with a null conversation id are one conversation. A text of any length is
+one segment of its piece. Extra columns are left out, whatever their names. An empty table gives
+no rows. The digests of a conversation are sequential, so one task reads its pieces in order.
 """
 
 from __future__ import annotations

@@ -14,6 +14,8 @@ which takes a fixed number of rows for each (``ball_links``). Both ways are exac
 
 Null text is empty; an empty text has fingerprint zero and is linked like any other. Rows with
 equal ids stay apart. A null id never names a component unless all ids of the component are null.
+Texts of any length are hashed whole, a bounded number of shingles at a time. An empty table
+gives no rows. Extra columns are left out, whatever their names.
 """
 
 from __future__ import annotations
