@@ -55,7 +55,7 @@ def normal(line):
     return re.sub(WHITE, " ", line.lower()).strip(" ")
 
 
-LIMITS = Limits(min_words=20, max_repeat_percent=80, min_line_docs=4, max_line_share=0.3, min_words_left=15, min_share_left=0.3)
+LIMITS = Limits(min_words=20, max_repeat_percent=80, max_line_docs=4, min_words_left=15, min_share_left=0.3)
 
 
 def expected_quality(rows, limits):
@@ -68,7 +68,7 @@ def expected_quality(rows, limits):
         for t in own:
             for k in {normal(x) for x in t.split("\n") if x.strip(" \t\n\x0b\x0c\r")}:
                 counts[k] = counts.get(k, 0) + 1
-        over[host] = {k for k, n in counts.items() if n > limits.min_line_docs and n > len(own) * limits.max_line_share}
+        over[host] = {k for k, n in counts.items() if n > limits.max_line_docs}
     out = []
     for i, t, h in rows:
         n, *rest = quality_row(t or "")
@@ -92,6 +92,15 @@ def test_quality_rules(spark):
     assert quality.quality_rules(table.limit(0), "doc_id", "text", "source").count() == 0
 
 
+@pytest.mark.parametrize("others", [0, 190, 1000])
+def test_a_line_over_the_limit_goes_from_a_host_of_any_size(spark, others):
+    rows = [(i, f"{BOILER}\n{GOOD}\n{i}", "h") for i in range(21)] + [(100 + i, f"the line of twenty\n{GOOD}\nv{i}", "h") for i in range(20)]
+    rows += [(1000 + i, " ".join(f"u{i}x{j}" for j in range(60)), "h") for i in range(others)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    texts = {r.doc_id: r.text for r in quality.clean(table, "doc_id", "text", "source", Limits(min_words_left=1, min_share_left=0.0)).collect()}
+    assert not any(BOILER in t for t in texts.values()) and sum("the line of twenty" in t for t in texts.values()) == 20
+
+
 def test_cleaned_texts(spark):
     table = spark.createDataFrame([(i, t, h, 1) for i, t, h in QUALITY_ROWS], "doc_id long, text string, source string, _key int")
     got = quality.clean(table, "doc_id", "text", "source", LIMITS).select("doc_id", "text", "source").collect()
@@ -129,13 +138,18 @@ def expected_licenses(rows):
         base = {label for _, label in at}
         best, found = 0.0, set()
         for start in range(0, max(1, len(w)), half):
-            own = set(w[start : start + 2 * half])
+            here = w[start : start + 2 * half]
+            own = set(zip(here, here[1:]))
+            shares = {}
             for label, notice in licenses.NOTICES:
-                words = licenses.template_words(notice)
-                common = len(own & set(words))
-                if common >= math.ceil(licenses.THRESHOLD * len(words) - 1e-9):
-                    found.add(label)
-                    best = max(best, common / len(words))
+                words = license_words(notice)
+                pairs = set(zip(words, words[1:]))
+                if len(own & pairs) >= math.ceil(licenses.THRESHOLD * len(pairs) - 1e-9):
+                    shares[label] = len(own & pairs) / len(pairs)
+            # Only the Creative Commons notices are variants of one text.
+            nearest = max((v for k, v in shares.items() if k.startswith("cc")), default=0)
+            found |= {k for k, v in shares.items() if not k.startswith("cc") or v == nearest}
+            best = max([best, *shares.values()])
         ks = [k for k, _ in at]
         yield i, len(w), len(at), min(ks, default=None), max(ks, default=None), ",".join(sorted(base)), ",".join(sorted(base | found)), 1.0 if at else best
 
@@ -157,6 +171,16 @@ def test_licenses(spark):
     assert licenses.scan(table.limit(0), "doc_id", "text").count() == 0
 
 
+def test_variants_are_told_apart(spark):
+    own = dict(licenses.NOTICES)
+    shuffled = " ".join(sorted(license_words(own["mit"])))
+    texts = [*own.values(), shuffled, f"{own['cc-by']} {own['cc-by-sa']}", "Attribution License International Commons a Creative under This is work licensed"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in licenses.scan(table, "doc_id", "text").collect()}
+    assert [got[i] for i in range(len(own))] == list(own)
+    assert [got[len(own) + k] for k in range(3)] == ["", "cc-by,cc-by-sa", ""]
+
+
 # Spot signatures
 
 
@@ -166,7 +190,7 @@ def spots(text):
     out = set()
     for i, w in enumerate(words):
         if w in common:
-            out.add((w, *[x for x in words[i + 1 : i + 1 + spotsigs.REACH] if x not in common][: spotsigs.CHAIN]))
+            out.add((w, *[x for x in words[i + 1 :] if x not in common][: spotsigs.CHAIN]))
     return out or ({tuple(words)} if words else set())
 
 
@@ -193,6 +217,14 @@ def test_edited_likeness(spark, partitions):
     assert got[3].fingerprint == got[11].fingerprint and got[1].fingerprint == got[2].fingerprint == ""
 
 
+def test_chains_reach_over_any_number_of_anchors(spark):
+    texts = ["the " + "of " * n + f"alpha {w} gamma" for n in (0, 13, 400) for w in ("beta", "delta")]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in spotsigs.edited_likeness(table, "doc_id", "text").collect()}
+    assert got[2].near_next == got[4].near_next == 0.0
+    assert got[2].fingerprint == got[4].fingerprint != got[3].fingerprint
+
+
 def test_repeated_rows_and_few_rows(spark):
     table = spark.createDataFrame([(1, "the sun is up")] * 3 + [(1, "the moon is up"), (2, "of all")], "doc_id long, text string")
     got = spotsigs.edited_likeness(table, "doc_id", "text").collect()
