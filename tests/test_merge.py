@@ -209,3 +209,26 @@ def test_surrogate_key(spark):
     df = spark.createDataFrame([(2, "b"), (1, "z"), (2, "a")], "RATE_ID int, x string")
     got = {tuple(r) for r in add_surrogate_key(df, ["RATE_ID"]).collect()}
     assert got == {(1, "z", 1), (2, "a", 2), (2, "b", 3)}
+
+
+@pytest.mark.parametrize("most", [0, 1_000])
+def test_collapse_passes_single_rows_through_beyond_the_rows_that_are_broadcast(spark, monkeypatch, most):
+    monkeypatch.setattr(merge, "BROADCAST_ROWS", 1)
+    monkeypatch.setattr(merge, "BROADCAST_HASHES", most)
+    rule = MergeRule(("k",), ("k", "v"), integer_keys=("k",))
+    rows = [(str(k) if i else f"0{k}", f"{k}-{i}", 10 * k + i) for k in range(40) for i in range(1 + (k % 8 == 0))]
+    batch = spark.createDataFrame(rows, "k string, v string, n int")
+    repeated = merge.repeated_keys(batch, rule)
+    assert repeated.count() == 5
+    out = merge.collapse_around(batch, rule, ["n"], repeated, 5)
+    assert ("Union" in out._jdf.queryExecution().optimizedPlan().toString()) == bool(most)
+    want = {(f"0{k}", f"{k}-{int(k % 8 == 0)}", 10 * k, 1 + (k % 8 == 0)) for k in range(40)}
+    assert {tuple(r) for r in out.select("k", "v", "_first", "_n").collect()} == want
+
+
+def test_parted_by_hash_keeps_every_row(spark):
+    rows = spark.createDataFrame([(1, "a"), (None, "b"), (2, "c"), (2, "d"), (None, "e")], "k int, v string")
+    keys = merge.hashes(rows.where("k = 2 OR k IS NULL"), ["k"])
+    inside, outside = merge.parted(rows, ["k"], keys)
+    assert {r.v for r in inside.collect()} == {"c", "d"}
+    assert {r.v for r in outside.collect()} == {"a", "b", "e"}
