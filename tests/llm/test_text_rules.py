@@ -6,6 +6,7 @@ import re
 
 import pytest
 from compare import connect, difference
+from pyspark.sql import functions as F
 
 from ratemill.llm import licenses, quality, spotsigs
 from ratemill.llm.queries import LLM_ORACLES, LLM_QUERIES
@@ -291,3 +292,20 @@ def test_lists_are_split_without_loss(spark, block):
     table = spark.createDataFrame(rows, "doc_id long, text string")
     got = [tuple(x) for x in spotsigs.near_classes(table, "doc_id", "text", block=block).collect()]
     assert sorted(got) == sorted(class_ids(rows))
+
+
+def test_sets_have_running_numbers_and_old_labels_go(spark, monkeypatch):
+    paths, dropped = [], []
+    new, drop = spotsigs.new_scratch, spotsigs.drop_scratch
+    monkeypatch.setattr(spotsigs, "new_scratch", lambda s, x: paths.append(new(s, x)) or paths[-1])
+    monkeypatch.setattr(spotsigs, "drop_scratch", lambda s, x: dropped.append(x) or drop(s, x))
+    texts = [f"the quick fox{i % 3} and the lazy dog was in the green house with a red roof" for i in range(9)]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    rows = spotsigs._spots(table, "text", "spots").select(F.xxhash64("spots", F.size("spots")).alias("sid"), "spots")
+    sets = spotsigs._ordered_sets(rows).select("hash", "sid").collect()
+    assert {r["hash"] for r in sets} == {r.sid for r in rows.collect()}
+    assert len({r.sid for r in sets}) == 3 and all(0 <= r.sid >> 33 < 64 for r in sets)
+    got = {r.doc_id: r.class_id for r in spotsigs.near_classes(table, "doc_id", "text").collect()}
+    assert all(got[i] == got[i % 3] for i in range(9))
+    labels = [x for x in paths if "/labels-" in x]
+    assert len(labels) > 1 and set(labels[:-1]) <= set(dropped) and labels[-1] not in dropped
