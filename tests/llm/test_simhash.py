@@ -131,3 +131,25 @@ def test_near_duplicates(spark):
         want.append((i, f"{p:016x}", min(ids, default=None)))
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
     assert simhash.near_duplicates(table.limit(0), "doc_id", "text").count() == 0
+
+
+def test_few_links_take_no_exchange_per_round(spark, monkeypatch):
+    import random
+
+    from ratemill.llm import components as module
+
+    plans = []
+    monkeypatch.setattr(module, "written", lambda df, path, own=module.written: plans.append(df._jdf.queryExecution().executedPlan().toString()) or own(df, path))
+    r = random.Random(5)
+    links = {(r.randrange(400), r.randrange(400)) for _ in range(300)} | {(1000 + i, 1001 + i) for i in range(40)} | {(7, 7), (2000, 2000)}
+    nodes = sorted({x for link in links for x in link})
+    want = smallest_reachable(nodes, lambda a, b: (a, b) in links or (b, a) in links)
+    table = spark.createDataFrame([*links, (None, 1)], "a long, b long").repartition(4)
+    got = []
+    for most in (module.TASK_LINKS, 0):
+        monkeypatch.setattr(module, "TASK_LINKS", most)
+        plans.clear()
+        found = module.components(table)
+        got.append([tuple(x) for x in found.collect()])
+        assert len(plans) > 2 and any("hashpartitioning" in p for p in plans[1:]) == (most == 0)
+    assert len(got[0]) == len(nodes) and sorted(got[0]) == sorted(got[1]) and dict(got[0]) == want

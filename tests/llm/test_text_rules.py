@@ -309,3 +309,27 @@ def test_sets_have_running_numbers_and_old_labels_go(spark, monkeypatch):
     assert all(got[i] == got[i % 3] for i in range(9))
     labels = [x for x in paths if "/labels-" in x]
     assert len(labels) > 1 and set(labels[:-1]) <= set(dropped) and labels[-1] not in dropped
+
+
+def test_each_merge_gets_links_of_roots_only(spark, monkeypatch):
+    import random
+
+    calls = []
+    real = spotsigs.components
+    monkeypatch.setattr(spotsigs, "components", lambda links: calls.append([tuple(x) for x in links.select("a", "b").collect()]) or real(links))
+    r = random.Random(9)
+    passage = "the common passage of the same words is in the text and the others"
+    rows = []
+    for i in range(20):
+        base = f"{passage} for w{i} x{i} with w{i} y{i}"
+        rows += [(3 * i, base), (3 * i + 1, f"{base} as v{i} z{i}"), (3 * i + 2, " ".join(f"the k{r.randrange(6)} k{r.randrange(6)}" for _ in range(r.choice([1, 2, 3, 5, 6]))))]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(x) for x in spotsigs.near_classes(table, "doc_id", "text", block=2).collect()]
+    assert sorted(got) == sorted(class_ids(rows))
+    assert sum(len(c) > 0 for c in calls) > 1
+    known = {}
+    for links in calls:
+        assert all(known.get(x, x) == x for link in links for x in link)
+        for a, b in links:
+            a, b = known.get(a, a), known.get(b, b)
+            known = {k: min(a, b) if v in (a, b) else v for k, v in {**known, a: a, b: b}.items()}
