@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from ratemill import FACTOR, RENEWAL, STUMPAGE, ImportAborted, TableStore, import_files
+from ratemill.operators import merge
 from ratemill.operators.classify import classify_feed
+from ratemill.plans import importer
 from ratemill.plans.queries import WIDER
-from ratemill.session import new_scratch, written
+from ratemill.session import new_scratch, written, written_around
 from ratemill.sources import lines
 from ratemill.sources.import_log import read_import_log
 from ratemill.sources.lines import (
@@ -571,3 +573,31 @@ def test_defaults_that_replace_a_text_are_reported(spark, store, write):
     assert import_files(spark, [factor_file(write, "c.csv", "1,T,D,S,0,1042026,2042026")], store).defaulted is None
     aside = import_files(spark, [b], store, policy="files")
     assert aside.defaulted is None or aside.defaulted.count() == 0
+
+
+def test_columns_that_no_file_has_are_not_staged_or_dealt(spark, store, write, monkeypatch):
+    staged = {}
+    monkeypatch.setattr(importer, "written_around", lambda df, path, constant: staged.update({path: (df, constant)}) or written_around(df, path, constant))
+    first = factor_file(write, "a.csv", *[f"{k},A,B,C,{n},1042026,2042026" for n, k in enumerate((1, 2, 1, 4))])
+    import_files(spark, [first], store)
+    (frame, constant), = staged.values()
+    assert "GRADE" in constant and "FACTOR_ID" not in constant and set(constant) < set(FACTOR.names)
+    assert frame.columns[3:-2] == list(FACTOR.names)
+    got = {r.FACTOR_ID: r for r in store.read(FACTOR).collect()}
+    assert [got[k].ID for k in (1, 2, 4)] == [1, 2, 3] and got[1].GRADE == "" and got[1].DESTINATION_SHARE == 0.0
+    second = write("b.csv", text("factor_id,tally_destination_code,destination_code,species_code,effective_date,expiry_date,grade", "2,A,B,C,01042026,01042027,X", "9,A,B,C,01042026,01042027,Y"))
+    assert import_files(spark, [second], store).processed == {"factor": 2}
+    got = {r.FACTOR_ID: r for r in store.read(FACTOR).collect()}
+    assert [(k, got[k].ID, got[k].GRADE) for k in (1, 2, 4, 9)] == [(1, 1, ""), (2, 2, "X"), (4, 3, ""), (9, 4, "Y")]
+
+
+@pytest.mark.parametrize("few", [0, 200_000])
+def test_a_second_import_is_the_same_with_hashes_and_with_bits(spark, store, write, monkeypatch, few):
+    monkeypatch.setattr(merge, "BROADCAST_ROWS", few)
+    lines_of = lambda ks, rate: [f"{k},A,B,C,{rate},1042026,2042026" for k in ks]
+    import_files(spark, [factor_file(write, "a.csv", *lines_of(range(40), 1), *lines_of(range(0, 40, 8), 2))], store)
+    again = [factor_file(write, "b.csv", *lines_of(range(30, 70), 3)), factor_file(write, "c.csv", *lines_of(range(32, 70, 4), 3))]
+    result = import_files(spark, again, store)
+    assert sorted(r.processed for r in result.files.collect()) == [0, 40]
+    got = sorted((r.ID, r.FACTOR_ID, r.TAX_RATE) for r in store.read(FACTOR).collect())
+    assert got == [(k + 1, k, 3.0 if k >= 30 else 2.0 if k % 8 == 0 else 1.0) for k in range(70)]

@@ -8,7 +8,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from ratemill.operators import merge
+from ratemill.operators import ids, merge
 from ratemill.operators.ids import add_surrogate_key, assign_ids
 from ratemill.operators.merge import MergeRule, changed_rows, count_actions, merge_actions, upsert
 from ratemill.operators.ranges import in_ranges, key_ranges
@@ -232,3 +232,28 @@ def test_parted_by_hash_keeps_every_row(spark):
     inside, outside = merge.parted(rows, ["k"], keys)
     assert {r.v for r in inside.collect()} == {"c", "d"}
     assert {r.v for r in outside.collect()} == {"a", "b", "e"}
+
+
+def test_many_hashes_are_told_apart_by_bits(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(merge, "BROADCAST_ROWS", 1)
+    rows = spark.range(20_000).select(F.when(F.col("id") % 7 != 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    keys = merge.hashes(rows.where("v % 5 = 0"), ["k"])
+    marked = merge.marks(keys, keys.count(), str(tmp_path / "marks"))
+    assert "_words" in marked.columns
+    inside, outside = ({r.v for r in x.collect()} for x in merge.parted(rows, ["k"], marked))
+    wanted = {v for v in range(0, 20_000, 5) if v % 7}
+    assert wanted <= inside and len(inside) < 1.5 * len(wanted)
+    assert inside | outside == set(range(20_000)) and not inside & outside
+    plan = merge.parted(rows, ["k"], marked)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+
+
+@pytest.mark.parametrize("most", [50, 1_000])
+def test_rows_are_dealt_by_a_known_number_without_a_sample(spark, monkeypatch, tmp_path, most):
+    monkeypatch.setattr(ids, "PART_ROWS", most)
+    df = spark.range(0, 2_000, 2).select((1999 - F.col("id")).alias("n"), F.col("id").alias("v")).repartition(3)
+    placed = ids.dealt_rows(df, F.col("n"), 2_000, str(tmp_path / "placed"))
+    got = sorted((r.ID, r.v) for r in ids.number_placed(placed, 10, "ID").collect())
+    assert got == [(i + 11, 1998 - 2 * i) for i in range(1_000)]
+    sizes = [r["count"] for r in placed.groupBy("_part").count().collect()]
+    assert max(sizes) <= most
